@@ -32,10 +32,10 @@ def is_true_text(col: Column) -> Column:
 
 
 def safe_double(col: Column) -> Column:
-    """Number or null; Java's `1d` / `1f` suffixes are not numbers."""
+    """Finite decimal number or null.  A number ends in a digit or a point; this
+    excludes `nan`, `inf` and the type suffixes a Java parser would accept."""
     text = F.trim(col)
-    has_java_suffix = text.rlike(r"^[^a-zA-Z]*[dDfF]$")
-    return F.when(~has_java_suffix, text.try_cast("double"))
+    return F.when(F.right(text, F.lit(1)).isin(*"0123456789."), text.try_cast("double"))
 
 
 def safe_int(col: Column) -> Column:

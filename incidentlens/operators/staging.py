@@ -9,11 +9,23 @@ from ..functions import scalars as S
 from ..schema import CORRUPT, PAYLOAD, PAYLOAD_FIELDS
 
 
-def _parse(raw: DataFrame) -> DataFrame:
-    """One JSON parse per record; Catalyst narrows the parsed fields to those
-    a query really uses."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return raw.withColumn("payload", F.from_json("record_data", PAYLOAD, options))
+PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _parse(raw: DataFrame, keep=None) -> DataFrame:
+    """Add `payload`, optionally keeping only records that satisfy `keep`.
+
+    Unnesting a one-element array stops later filters on payload fields from
+    being moved below the parse, which would then run once per filter term and
+    again for the projection.  So a record is parsed exactly once."""
+    parsed = F.array(F.from_json("record_data", PAYLOAD, PARSE_OPTIONS))
+    if keep is not None:
+        parsed = F.filter(parsed, keep)
+    return raw.withColumn("payload", F.explode(parsed))
+
+
+def _is_record(payload):
+    return payload.isNotNull() & payload[CORRUPT].isNull()
 
 
 def stage(raw: DataFrame) -> DataFrame:
@@ -30,15 +42,10 @@ def stage(raw: DataFrame) -> DataFrame:
     )
 
 
-def _is_record(parsed: DataFrame):
-    return F.col("payload").isNotNull() & F.col(f"payload.{CORRUPT}").isNull()
-
-
 def typed(raw: DataFrame) -> DataFrame:
     """Typed incidents; a payload that is not a JSON object is left out."""
     text = lambda name: F.col(f"payload.{name}")
-    parsed = _parse(raw)
-    return parsed.filter(_is_record(parsed)).select(
+    return _parse(raw, keep=_is_record).select(
         "id",
         "date",
         *[text(n).alias(n) for n in PAYLOAD_FIELDS[:4]],
@@ -55,7 +62,7 @@ def typed(raw: DataFrame) -> DataFrame:
 
 def parse_counts(raw: DataFrame) -> DataFrame:
     """How many records parse and how many are dropped."""
-    ok = _is_record(raw)
+    ok = _is_record(F.col("payload"))
     return _parse(raw).agg(
         F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("dropped")
     )

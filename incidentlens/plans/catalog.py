@@ -65,10 +65,15 @@ def e_located(spark, sf):
     return filters.spatial_scan(e_features(spark, sf))
 
 
+def e_spatial_table(spark, sf):
+    """The clustering input as a table, as the jobs that read it many times do."""
+    return materialize(e_located(spark, sf))
+
+
 def e_blobs(spark, sf):
     """Located incidents with the blob they were placed in as their cluster."""
     blob = (F.col("beat_num") % 7) * 5 + F.col("beat_num") % 5
-    return clustering.grid_features(e_located(spark, sf)).withColumn("cluster_id", blob.cast("int"))
+    return clustering.grid_features(e_spatial_table(spark, sf)).withColumn("cluster_id", blob.cast("int"))
 
 
 def blob_profiles(spark, sf):
@@ -264,7 +269,7 @@ def grid_profile_10x10(spark, sf):
 def grid_features(spark, sf):
     hot = [f"distance_to_hotspot_{i}" for i in (1, 2, 3)]
     return (
-        clustering.grid_features(e_located(spark, sf))
+        clustering.grid_features(e_spatial_table(spark, sf))
         .select("id", "lat_bin", "lon_bin", "grid_crime_count", "crimes_same_location_24h", *hot)
         .withColumns(r6(*hot) | {n: F.col(n).cast("long") for n in ("lat_bin", "lon_bin")})
     )
@@ -272,7 +277,7 @@ def grid_features(spark, sf):
 
 def scaled_features(spark, sf):
     z = clustering.scaled_names()
-    scaled = clustering.standardize(materialize(clustering.grid_features(e_located(spark, sf))))
+    scaled = clustering.standardize(materialize(clustering.grid_features(e_spatial_table(spark, sf))))
     return scaled.select("id", *z).withColumns(r6(*z))
 
 
@@ -318,7 +323,7 @@ def nearest_center(spark, sf):
 
 
 def _scaled(spark, sf):
-    gridded = materialize(clustering.grid_features(e_located(spark, sf)))
+    gridded = materialize(clustering.grid_features(e_spatial_table(spark, sf)))
     return materialize(clustering.standardize(gridded))
 
 
@@ -334,13 +339,13 @@ def kmeans_sweep(spark, sf):
 
 def dbscan_clusters(spark, sf):
     labelled = dbscan.dbscan(
-        e_located(spark, sf), DEGREES, 0.02, 5, order_by=F.col("id").cast("long")
+        e_spatial_table(spark, sf), DEGREES, 0.02, 5, order_by=F.col("id").cast("long")
     )
     return labelled.select("id", F.col("cluster_id").cast("long").alias("cluster_id"))
 
 
 def dbscan_quality(spark, sf):
-    labelled = dbscan.dbscan(e_located(spark, sf), DEGREES, 0.02, 5, order_by=F.col("id").cast("long"))
+    labelled = dbscan.dbscan(e_spatial_table(spark, sf), DEGREES, 0.02, 5, order_by=F.col("id").cast("long"))
     return dbscan.quality(labelled)
 
 
@@ -354,7 +359,7 @@ def dbscan_scaled(spark, sf):
 
 
 def kdistance_tuning(spark, sf):
-    vectors = materialize(dbscan.distinct_vectors(e_located(spark, sf), DEGREES))
+    vectors = materialize(dbscan.distinct_vectors(e_spatial_table(spark, sf), DEGREES))
     curve = kdistance.kth_neighbour_distance(vectors, 2)
     return (
         curve.groupBy(F.round("kdist", 6).alias("kdist"))
@@ -363,7 +368,7 @@ def kdistance_tuning(spark, sf):
 
 
 def kdistance_eps(spark, sf):
-    vectors = materialize(dbscan.distinct_vectors(e_located(spark, sf), DEGREES))
+    vectors = materialize(dbscan.distinct_vectors(e_spatial_table(spark, sf), DEGREES))
     curve = kdistance.kth_neighbour_distance(vectors, 2)
     return kdistance.curve_elbow(curve).withColumns(r6("eps"))
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import widen
+
 TYPE_BY_EVENT = {
     "click": "THEFT",
     "view": "BATTERY",
@@ -25,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = widen(table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").cast("long")
     eid, uid = F.col("event_id"), F.col("user_id")
     kind = F.when(k % 10 == 9, "OTHER OFFENSE")
@@ -53,14 +55,14 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         eid.cast("string").alias("id"),
         F.col("ts").alias("date"),
-        F.to_json(payload).alias("record_data"),
+        F.coalesce(F.to_json(payload), F.lit("{}")).alias("record_data"),
         F.col("ts").alias("loaded_at"),
         F.lit("events").alias("source"),
     )
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    od = table(spark, sf_dir, "orders")
+    od = widen(table(spark, sf_dir, "orders"))
     cust = F.col("o_custkey")
     payload = F.struct(
         F.col("o_orderpriority").alias("primary_type"),
@@ -73,7 +75,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return od.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_orderdate").alias("date"),
-        F.to_json(payload).alias("record_data"),
+        F.coalesce(F.to_json(payload), F.lit("{}")).alias("record_data"),
         F.col("o_orderdate").alias("loaded_at"),
         F.lit("orders").alias("source"),
     )

@@ -116,9 +116,10 @@ def _fit_all(vectors, ks, seed, restarts, threads) -> dict[int, KMeansModel]:
 
     def fit(task) -> tuple[int, KMeansModel]:
         k, s = task
-        return k, KMeans(
-            k=k, seed=s, weightCol="n", maxIter=300, tol=1e-4, featuresCol="features"
-        ).fit(vectors)
+        # stop when the squared shifts of all centres sum to at most 1e-4, for
+        # features of unit variance; MLlib tests the shift of each centre
+        tol = 1e-2 / k**0.5
+        return k, KMeans(k=k, seed=s, weightCol="n", maxIter=300, tol=tol).fit(vectors)
 
     tasks = [(k, seed + r) for k in ks for r in range(restarts)]
     with ThreadPool(threads) as pool:

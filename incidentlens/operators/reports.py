@@ -122,7 +122,8 @@ def pipeline_status(components: dict[str, DataFrame | None]) -> DataFrame:
     )
     missing = [(name, None, "ERROR") for name in components if name not in present]
     if missing:
-        out = out.unionByName(out.sparkSession.createDataFrame(missing, out.schema))
+        ddl = "component string, records bigint, status string"
+        out = out.unionByName(out.sparkSession.createDataFrame(missing, ddl))
     return out
 
 

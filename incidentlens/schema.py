@@ -30,6 +30,8 @@ RAW = T.StructType(
     ]
 )
 
+RAW_PARTITION = "day"
+
 CORRUPT = "_corrupt_record"
 
 # Every payload field is read as text; a record that is not a JSON object ends

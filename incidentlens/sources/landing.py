@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW
+from ..schema import RAW, RAW_PARTITION
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -28,6 +28,8 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
 def between(raw: DataFrame, start: date, stop: date, limit: int | None = None) -> DataFrame:
     at = lambda d: F.lit(d).cast("timestamp_ntz")
     rows = raw.filter((F.col("date") >= at(start)) & (F.col("date") < at(stop)))
+    if RAW_PARTITION in raw.columns:  # skip whole partitions as well
+        rows = rows.filter((F.col(RAW_PARTITION) >= start) & (F.col(RAW_PARTITION) < stop))
     return rows.limit(limit) if limit else rows
 
 

@@ -7,9 +7,11 @@ checkpoint, so a run repeated after a failure does not load them twice."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..schema import RAW_PARTITION
 from ..sinks.tables import envelope
 
 
@@ -24,7 +26,9 @@ def ingest_new_files(
     records = spark.readStream.schema(record_schema).json(landing)
     return (
         envelope(records, source)
+        .withColumn(RAW_PARTITION, F.to_date("date"))
         .writeStream.format("parquet")
+        .partitionBy(RAW_PARTITION)
         .option("path", raw_path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

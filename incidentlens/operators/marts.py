@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..session import materialize
 
 
 def _count_true(flag: str) -> Column:
@@ -55,34 +56,42 @@ def crime_type_analysis(staged: DataFrame) -> DataFrame:
 def daily_patterns(staged: DataFrame) -> DataFrame:
     """Per day: totals, distinct types, mode type, distinct districts and wards.
 
-    One shuffle of compacted (day, type, district, ward) counts feeds both
-    branches; the exchange is reused."""
+    Detail rows are compacted to (day, type, district, ward) counts; each of
+    these then counts once for its type, its district and its ward, which turns
+    three distinct counts and a mode into plain aggregates of one pipeline."""
+    measures = ("n", "arrests", "domestics")
     cube = staged.groupBy("incident_date", "primary_type", "district", "ward").agg(
         F.count("*").alias("n"),
         _count_true("arrest").alias("arrests"),
         _count_true("domestic").alias("domestics"),
     )
-    by_type = (
-        cube.groupBy("incident_date", "primary_type")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("arrests").alias("arrests"),
-            F.sum("domestics").alias("domestics"),
-        )
-        .groupBy("incident_date")
+    views = [
+        F.struct(F.lit(name).alias("of"), F.col(name).alias("value"))
+        for name in ("primary_type", "district", "ward")
+    ]
+    per_value = (
+        cube.select("incident_date", *measures, F.explode(F.array(*views)).alias("v"))
+        .groupBy("incident_date", F.col("v.of").alias("of"), F.col("v.value").alias("value"))
+        .agg(*[F.sum(m).alias(m) for m in measures])
+    )
+    is_type = F.col("of") == "primary_type"
+    known = F.col("value").isNotNull()
+    total = lambda m: F.sum(F.when(is_type, F.col(m)))
+    return (
+        per_value.groupBy("incident_date")
         .agg(
-            F.sum("n").alias("total_incidents"),
-            F.count("primary_type").alias("unique_crime_types"),
-            F.sum("arrests").alias("arrests_made"),
-            F.sum("domestics").alias("domestic_incidents"),
-            _mode("primary_type", "n").alias("most_common_crime"),
+            total("n").alias("total_incidents"),
+            F.count_if(is_type & known).alias("unique_crime_types"),
+            total("arrests").alias("arrests_made"),
+            total("domestics").alias("domestic_incidents"),
+            F.min_by("value", F.when(is_type & known, F.struct(-F.col("n"), "value"))).alias(
+                "most_common_crime"
+            ),
+            F.count_if((F.col("of") == "district") & known).alias("districts_affected"),
+            F.count_if((F.col("of") == "ward") & known).alias("wards_affected"),
         )
+        .orderBy(F.desc("incident_date"))
     )
-    spread = cube.groupBy("incident_date").agg(
-        F.count_distinct("district").alias("districts_affected"),
-        F.count_distinct("ward").alias("wards_affected"),
-    )
-    return by_type.join(spread, "incident_date").orderBy(F.desc("incident_date"))
 
 
 def location_analysis(staged: DataFrame, min_incidents: int = 2) -> DataFrame:
@@ -205,12 +214,15 @@ def seasonal_yoy(staged: DataFrame) -> DataFrame:
 def trend_classification(staged: DataFrame) -> DataFrame:
     """Counts of the latest year and the two calendar years before it, per type.
 
-    Everything comes from one (type, year) count; the latest three years
-    present are a three-row semi-join side."""
+    Everything comes from one (type, year) count, written once because the
+    years, their maximum and the counts are all taken from it; the latest three
+    years present are a three-row semi-join side."""
     c = F.col
-    per_year = staged.groupBy(
-        "primary_type", F.year("incident_date").cast("long").alias("year")
-    ).agg(F.count("*").alias("n"))
+    per_year = materialize(
+        staged.groupBy(
+            "primary_type", F.year("incident_date").cast("long").alias("year")
+        ).agg(F.count("*").alias("n"))
+    )
     recent = per_year.select("year").distinct().orderBy(F.desc("year")).limit(3)
     latest = recent.agg(F.max("year")).scalar()
     of_year = lambda back: F.coalesce(F.sum(F.when(c("year") == c("latest") - back, c("n"))), F.lit(0))
@@ -244,7 +256,7 @@ def trend_classification(staged: DataFrame) -> DataFrame:
 
 def top_movers(staged: DataFrame, k: int = 5) -> DataFrame:
     """The k fastest growing and the k fastest declining types."""
-    trend = trend_classification(staged).filter(F.col("yoy_change_percent").isNotNull())
+    trend = materialize(trend_classification(staged)).filter(F.col("yoy_change_percent").isNotNull())
     columns = ["primary_type", "yoy_change_percent", "current_year_incidents", "prev_year_incidents"]
 
     def ranked(label: str, order: Column) -> DataFrame:

@@ -110,16 +110,28 @@ def running_total(df: DataFrame, value: str, weight: Column, out: str = "through
 
 
 def dense_numbers(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
-    """Number rows 0, 1, 2, ... by `value`, then `tie`, without a global window."""
+    """Number rows 0, 1, 2, ... by `value`, without a global window.
+
+    Rows of equal value are put in 64 ranges of a hash of `tie` and numbered
+    within those, so even if all values are equal no task gets all rows."""
+    part = F.shiftright(F.xxhash64(tie), 58)
+    parted = df.withColumn("_part", part)
+    counts = materialize(parted.groupBy(value, "_part").agg(F.count("*").alias("_n")))
+    earlier = Window.partitionBy(value).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     per_value = running_total(
-        df.groupBy(value).agg(F.count("*").alias("_n")), value, F.col("_n")
-    ).select(F.col(value).alias("_v"), (F.col("through") - F.col("_n")).alias("_before"))
-    in_ties = Window.partitionBy(value).orderBy(tie)
+        counts.groupBy(value).agg(F.sum("_n").alias("_n")), value, F.col("_n")
+    ).select(value, (F.col("through") - F.col("_n")).alias("_before"))
+    offsets = (
+        counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .join(per_value, value)
+        .select(value, "_part", (F.col("_before") + F.col("_ahead")).alias("_from"))
+    )
+    within = Window.partitionBy(value, "_part").orderBy(tie)
     return (
-        df.withColumn("_k", F.row_number().over(in_ties))
-        .join(per_value, F.col(value) == F.col("_v"))
-        .withColumn(out, (F.col("_before") + F.col("_k") - 1).cast("int"))
-        .drop("_k", "_v", "_before")
+        parted.withColumn("_k", F.row_number().over(within))
+        .join(offsets, [value, "_part"])
+        .withColumn(out, (F.col("_from") + F.col("_k") - 1).cast("int"))
+        .drop("_part", "_k", "_from")
     )
 
 
@@ -152,22 +164,19 @@ def with_neighbours(df: DataFrame, value: str, prev: str, next_: str) -> DataFra
     )
 
 
-def exact_median(df: DataFrame, value: str) -> float | None:
-    """Median of a column from its distinct values and their running count."""
-    counted = (
+def exact_median(df: DataFrame, value: str, max_values: int = 100_000) -> float | None:
+    """Median of a column from its distinct values and their counts.
+
+    Few distinct values are finished by one weighted percentile; beyond
+    `max_values` the counts are accumulated slice by slice."""
+    counted = materialize(
         df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
     )
+    if counted.count() <= max_values:
+        return counted.agg(F.percentile(F.col(value).cast("double"), 0.5, F.col("n"))).first()[0]
     ranked = materialize(running_total(counted, value, F.col("n")))
-    total = ranked.agg(F.max("through").alias("t"))
-    t = total.scalar()
-    # the rows at 1-based positions (t+1)/2 and t/2+1, equal when t is odd
-    at = lambda pos: F.min(F.when(F.col("through") >= pos, F.col(value)))
-    row = (
-        ranked.withColumn("t", t)
-        .agg(
-            at(F.floor((F.col("t") + 1) / 2)).alias("lo"),
-            at(F.floor(F.col("t") / 2) + 1).alias("hi"),
-        )
-        .first()
-    )
-    return None if row.lo is None else (float(row.lo) + float(row.hi)) / 2
+    total = ranked.agg(F.max("through")).first()[0]
+    # the rows at 1-based positions (total+1)/2 and total/2+1, equal if it is odd
+    at = lambda position: F.min(F.when(F.col("through") >= position, F.col(value)))
+    low, high = ranked.agg(at((total + 1) // 2), at(total // 2 + 1)).first()
+    return (float(low) + float(high)) / 2

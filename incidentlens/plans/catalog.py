@@ -121,16 +121,19 @@ def raw_envelope_append(spark, sf):
 
 
 def analytics_summary(spark, sf):
-    return marts.analytics_summary(events_raw(spark, sf), e_staged(spark, sf))
+    used = ["incident_date", "primary_type", "location_description", "district", "ward", "arrest", "domestic"]
+    staged = materialize(e_staged(spark, sf).select(*used))
+    return marts.analytics_summary(events_raw(spark, sf), staged)
 
 
 def pipeline_status(spark, sf):
-    feats = e_features(spark, sf)
+    feats = materialize(e_features(spark, sf).select("id", "latitude", "longitude", "district_num"))
+    inside = S.in_bounding_box(F.col("latitude"), F.col("longitude"))
     return reports.pipeline_status(
         {
             "Raw Data": events_raw(spark, sf),
             "Feature Engineering": feats,
-            "Spatial Clustering": filters.spatial_scan(feats),
+            "Spatial Clustering": feats.filter(inside),
             "Unknown District": feats.filter(F.col("district_num") > 24),
         }
     )
@@ -528,7 +531,7 @@ def sampled_export(spark, sf):
 
 
 def summary_document(spark, sf):
-    return exports.summary_document(e_features(spark, sf))
+    return exports.summary_document(materialize(e_features(spark, sf)))
 
 
 Query = Callable[[SparkSession, str], DataFrame]

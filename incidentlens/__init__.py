@@ -1 +1 @@
-"""Incident analytics built on the PySpark DataFrame API."""
+"""Incident analytics on PySpark: see the README for the layout."""

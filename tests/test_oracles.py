@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
     "bigint": "BIGINT",
     "string": "VARCHAR",

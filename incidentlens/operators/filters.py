@@ -96,3 +96,7 @@ def dashboard_filter(
 
 def risk_band(hotspots: DataFrame, band: str | None = None) -> DataFrame:
     return hotspots.filter(S.RISK_BANDS[band](F.col("risk_score"))) if band else hotspots
+
+
+def of_model(results: DataFrame, model_type: str) -> DataFrame:
+    return results.filter(F.col("model_type") == model_type)

@@ -271,6 +271,16 @@ def top_movers(staged: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+MART_COLUMNS = (
+    "incident_date",
+    "primary_type",
+    "location_description",
+    "district",
+    "ward",
+    "arrest",
+    "domestic",
+)
+
 MARTS = {
     "crime_type_analysis": crime_type_analysis,
     "daily_crime_patterns": daily_patterns,

@@ -290,10 +290,11 @@ def spatial_bounds(located: DataFrame) -> DataFrame:
 
 
 def random_sample(df: DataFrame, n: int = 5000, seed: int | None = 42, key: str = "id") -> DataFrame:
-    """n located rows in random order.  With a seed the order is a hash of the
-    row's key, the same on every run; without one it is random."""
+    """n located rows in random order.  With a seed the order is a digest of the
+    seed and the row's key, the same on every run; without one it is random.
+    Each partition keeps its own first n, so nothing is sorted as a whole."""
     located = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    order = F.rand() if seed is None else F.xxhash64(F.lit(seed), F.col(key))
+    order = F.rand() if seed is None else F.md5(F.concat_ws(":", F.lit(seed), F.col(key)))
     return located.orderBy(order, key).limit(n)
 
 

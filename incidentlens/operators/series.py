@@ -27,22 +27,16 @@ def daily_series(
     incidents: DataFrame, crime_types: list[str] | None = None, total: bool = True, per_type: bool = True
 ) -> DataFrame:
     """(series_id, date, y) without gaps: days between a series' first and last
-    day that have no incident get 0.  `total` adds the sum of all types."""
-    counts = daily_by_type(incidents, crime_types)
-    parts = []
-    if per_type:
-        parts.append(
-            counts.filter(F.col("primary_type").isNotNull()).select(
-                F.col("primary_type").alias("series_id"), "date", "n"
-            )
-        )
-    if total:
-        parts.append(
-            counts.groupBy("date").agg(F.sum("n").alias("n")).select(
-                F.lit(TOTAL).alias("series_id"), "date", "n"
-            )
-        )
-    present = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    day that have no incident get 0.  `total` adds the sum of all types: the
+    small per-type counts are counted once more for it, not the detail rows."""
+    named = [F.col("primary_type")] if per_type else []
+    belongs_to = F.array_compact(F.array(*named, *([F.lit(TOTAL)] if total else [])))
+    present = (
+        daily_by_type(incidents, crime_types)
+        .select(F.explode(belongs_to).alias("series_id"), "date", "n")
+        .groupBy("series_id", "date")
+        .agg(F.sum("n").alias("n"))
+    )
     return fill_gaps(present)
 
 

@@ -77,7 +77,7 @@ def e_blobs(spark, sf):
 
 
 def blob_profiles(spark, sf):
-    return hotspots.cluster_profiles(materialize(e_blobs(spark, sf)))
+    return materialize(hotspots.cluster_profiles(materialize(e_blobs(spark, sf))))
 
 
 def blob_hotspots(spark, sf):
@@ -121,8 +121,7 @@ def raw_envelope_append(spark, sf):
 
 
 def analytics_summary(spark, sf):
-    used = ["incident_date", "primary_type", "location_description", "district", "ward", "arrest", "domestic"]
-    staged = materialize(e_staged(spark, sf).select(*used))
+    staged = materialize(e_staged(spark, sf).select(*marts.MART_COLUMNS))
     return marts.analytics_summary(events_raw(spark, sf), staged)
 
 
@@ -527,11 +526,43 @@ def model_comparison(spark, sf):
 
 def sampled_export(spark, sf):
     full = features.lag_features(e_features(spark, sf))
-    return exports.feature_sample(full)
+    rounded = r6("distance_from_center", "crimes_7day_avg")
+    whole = {n: F.col(n).cast("long") for n in ("hour", "day_of_week")}
+    return exports.feature_sample(full).withColumns(rounded | whole)
 
 
 def summary_document(spark, sf):
-    return exports.summary_document(materialize(e_features(spark, sf)))
+    """The nested summary with its lists written out as text."""
+    doc = exports.summary_document(materialize(e_features(spark, sf)))
+    listed = lambda col, f: F.array_join(F.transform(col, f), ";")
+    return doc.select(
+        "overall_stats.*",
+        listed(
+            "crime_distribution",
+            lambda e: F.concat_ws("=", e["primary_type"], e["count"].cast("string")),
+        ).alias("crime_distribution"),
+        listed(
+            "hourly_distribution",
+            lambda e: F.concat_ws("=", e["hour"].cast("string"), e["crimes"].cast("string")),
+        ).alias("hourly_distribution"),
+    ).withColumns(r6("avg_distance_from_center"))
+
+
+def export_manifest(spark, sf):
+    feats = materialize(e_features(spark, sf))
+    hot = blob_hotspots(spark, sf)
+    sample = reports.random_sample(feats, 500)
+    return exports.manifest(feats, sample, hot, filters.of_model(hot, "DBSCAN")).select(
+        "files.*", "data_summary.*"
+    )
+
+
+def model_split(spark, sf):
+    """The first rows of one model, riskiest first."""
+    rows = filters.of_model(blob_hotspots(spark, sf), "DBSCAN")
+    return reports.first_rows(rows, 5, F.desc("risk_score"), "cluster_id").select(
+        F.col("cluster_id").cast("long").alias("cluster_id"), "risk_score", "cluster_size", "top_crime_type"
+    )
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -630,4 +661,6 @@ QUERIES: dict[str, Query] = {
     "model_comparison": model_comparison,
     "sampled_export": sampled_export,
     "summary_document": summary_document,
+    "export_manifest": export_manifest,
+    "model_split": model_split,
 }

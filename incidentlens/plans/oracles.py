@@ -509,3 +509,28 @@ SELECT series_id, model_type, round(mae, 6) AS mae, round(rmse, 6) AS rmse, roun
 ORACLES["model_choice"] = with_o("""
 SELECT series_id, arg_min(model_type, ((mae + rmse) / 2, CASE model_type WHEN 'two' THEN 0 ELSE 1 END)) AS best_model,
   round(min((mae + rmse) / 2), 6) AS best_score, count(*) AS models FROM me GROUP BY 1""", SERIES, _SCORED)
+ORACLES["sampled_export"] = with_e("""
+SELECT id, date, primary_type, latitude, longitude, district_num, is_violent_crime, is_property_crime, crime_category,
+  round(distance_from_center, 6) AS distance_from_center, CAST(hour AS BIGINT) AS hour, CAST(day_of_week AS BIGINT) AS day_of_week,
+  is_weekend, season, daily_crime_count, round(a7, 6) AS crimes_7day_avg
+FROM f JOIN lags USING (incident_date) WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+ORDER BY md5('42:' || id), id LIMIT 5000""", LAGS)
+ORACLES["summary_document"] = with_e(f"""
+SELECT count(*) AS total_records, count(DISTINCT primary_type) AS crime_types, min(date) AS start_date, max(date) AS end_date,
+  {count_if('is_violent_crime')} AS violent_crimes, {count_if('is_property_crime')} AS property_crimes,
+  {count_if('has_coordinates')} AS with_coordinates, round(avg(distance_from_center), 6) AS avg_distance_from_center,
+  (SELECT string_agg(primary_type || '=' || n, ';' ORDER BY n DESC, primary_type)
+   FROM (SELECT primary_type, count(*) AS n FROM f GROUP BY 1)) AS crime_distribution,
+  (SELECT string_agg(hour || '=' || n, ';' ORDER BY hour) FROM (SELECT hour, count(*) AS n FROM f GROUP BY 1)) AS hourly_distribution
+FROM f""")
+ORACLES["export_manifest"] = with_e("""
+SELECT least(count(*) FILTER (WHERE has_coordinates), 500) || ' records (sample)' AS crime_features,
+  (SELECT count(*) FROM hot) || ' hotspots' AS crime_hotspots,
+  (SELECT count(*) FROM hot WHERE model_type = 'DBSCAN') || ' forecasts' AS crime_forecasts,
+  'overall figures and model performance' AS summary_stats, count(*) AS total_original_records,
+  min(date) || ' to ' || max(date) AS date_range, count(DISTINCT primary_type) AS crime_types,
+  (SELECT count(*) FROM hot) AS hotspots_identified,
+  (SELECT count(*) FROM hot WHERE model_type = 'DBSCAN') AS forecasts_generated FROM f""", GRID, BLOBS)
+ORACLES["model_split"] = with_e("""
+SELECT cluster_id, risk_score, cluster_size, top_crime_type FROM hot WHERE model_type = 'DBSCAN'
+ORDER BY risk_score DESC, cluster_id LIMIT 5""", GRID, BLOBS)

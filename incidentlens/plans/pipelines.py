@@ -13,7 +13,7 @@ from ..operators.dbscan import dbscan, quality
 from ..operators.features import all_features, features_for_storage
 from ..operators.filters import enough_rows, spatial_scan
 from ..operators.kdistance import tune_dbscan
-from ..operators.marts import MARTS
+from ..operators.marts import MART_COLUMNS, MARTS
 from ..operators.staging import stage, typed
 from ..session import materialize
 from ..sinks import tables
@@ -25,11 +25,11 @@ MIN_CLUSTER_ROWS = 100
 def build_marts(raw: DataFrame, schema: str) -> DataFrame:
     """Stage, rebuild every mart as a table, and return the row counts.
 
-    The staged columns are written once, so the JSON is parsed once for all
-    seven marts."""
+    The few staged columns the marts use are written once, so the JSON is parsed
+    once for all seven."""
     spark = raw.sparkSession
     tables.create_schema(spark, schema)
-    staged = materialize(stage(raw))
+    staged = materialize(stage(raw).select(*MART_COLUMNS))
     for name, build in MARTS.items():
         tables.replace_table(build(staged), f"{schema}.{name}")
     counted = {
@@ -95,7 +95,7 @@ def spatial_analysis(
     labelled = {"K-means": materialize(by_kmeans), "DBSCAN": materialize(by_density)}
     return {
         "labels": labelled,
-        "profiles": {m: hotspots.cluster_profiles(df) for m, df in labelled.items()},
+        "profiles": {m: materialize(hotspots.cluster_profiles(df)) for m, df in labelled.items()},
         "kmeans_metrics": metrics,
         "dbscan_metrics": {"eps": eps, "min_samples": min_samples, **quality(labelled["DBSCAN"]).first().asDict()},
     }

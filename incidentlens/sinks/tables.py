@@ -59,9 +59,11 @@ def _append_raw(rows: DataFrame, table: str, dedupe: bool) -> None:
     spark = rows.sparkSession
     create_raw_table(spark, table)
     if dedupe:
+        # records without an id cannot be told apart and are all kept
+        has_id = F.col("id") != ""
         known = spark.table(table).select("id")
-        rows = rows.dropDuplicates(["id"]).join(known, "id", "left_anti")
-        rows = rows.select(*RAW.fieldNames())
+        new = rows.filter(has_id).dropDuplicates(["id"]).join(known, "id", "left_anti")
+        rows = new.select(*RAW.fieldNames()).unionByName(rows.filter(~has_id))
     by_day(rows).write.mode("append").partitionBy(DAY).saveAsTable(table)
 
 

@@ -35,6 +35,11 @@ def test_gaps_become_zero(spark):
     assert {r.series_id for r in only.collect()} == {"A"}
 
 
+def test_total_and_types_come_from_one_scan(spark):
+    plan = sr.daily_series(typed(incidents(spark, [("2024-01-01T05:00:00", "A")])))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def reference_decomposition(y, p):
     n, h = len(y), p // 2
     weights = np.full(p, 1 / p) if p % 2 else np.array([0.5, *[1] * (p - 1), 0.5]) / p

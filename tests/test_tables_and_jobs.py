@@ -35,6 +35,12 @@ def test_loads_append_and_optionally_dedupe(spark, schema):
     assert {r.source for r in spark.table(table).select("source").distinct().collect()} == {"crime_api", "batch_api_2024_01"}
 
 
+def test_dedupe_keeps_records_without_id(spark, schema):
+    rows = records(spark, "2024-01-01", 4).drop("id")
+    tables.load_daily(rows, f"{schema}.raw", dedupe=True)
+    assert spark.table(f"{schema}.raw").count() == 4
+
+
 def test_extract_prunes_partitions(spark, schema):
     table = f"{schema}.raw"
     both = records(spark, "2024-01-01", 5).unionByName(records(spark, "2024-01-02", 7, 5))

@@ -332,12 +332,13 @@ def forecast_table(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def metric_comparison(metrics: DataFrame) -> DataFrame:
-    """Computed model metrics side by side, one row per metric."""
+def metric_comparison(metrics: DataFrame, models=("ARIMA", "Prophet")) -> DataFrame:
+    """Computed model metrics side by side: a row per series and metric."""
     names = [c for c in metrics.columns if c not in ("series_id", "model_type")]
     long = metrics.unpivot(
         ["series_id", "model_type"], [F.col(c).cast("double").alias(c) for c in names], "metric", "value"
     )
-    return long.groupBy("series_id", "metric").pivot("model_type", ["ARIMA", "Prophet"]).agg(
-        F.first("value")
-    )
+    per_model = [
+        F.max(F.when(F.col("model_type") == m, F.col("value"))).alias(m) for m in models
+    ]
+    return long.groupBy("series_id", "metric").agg(*per_model)

@@ -495,6 +495,40 @@ def model_choice(spark, sf):
     return series.choose_model(series.forecast_metrics(_week_before(spark, sf))).withColumns(r6("best_score"))
 
 
+def _naive_forecasts(spark, sf):
+    return _week_before(spark, sf).select(
+        F.col("series_id").alias("crime_type"),
+        "model_type",
+        "date",
+        F.col("yhat").alias("forecast"),
+        (F.col("yhat") / 3).alias("lower_ci"),
+        (F.col("yhat") * 2).alias("upper_ci"),
+    )
+
+
+def forecast_summary(spark, sf):
+    return reports.forecast_summary(_naive_forecasts(spark, sf))
+
+
+def forecast_table(spark, sf):
+    return reports.forecast_table(filters.of_model(_naive_forecasts(spark, sf), "one"))
+
+
+def metric_table(spark, sf):
+    metrics = series.forecast_metrics(_week_before(spark, sf))
+    return reports.metric_comparison(metrics, ("one", "two")).withColumns(r6("one", "two"))
+
+
+def ml_report(spark, sf):
+    blobs = materialize(e_blobs(spark, sf).select("cluster_id"))
+    return reports.ml_report(e_typed(spark, sf), _naive_forecasts(spark, sf), blobs, blob_hotspots(spark, sf))
+
+
+def high_risk_hotspots(spark, sf):
+    rows = hotspots.top_hotspots(blob_profiles(spark, sf), 8, above=70)
+    return rows.withColumn("cluster_id", F.col("cluster_id").cast("long"))
+
+
 def _fitted(model, days=30):
     def run(spark, sf):
         return forecasting.run_model(o_series(spark, sf), model, days).drop("params")
@@ -654,6 +688,11 @@ QUERIES: dict[str, Query] = {
     "chronological_split": chronological_split,
     "forecast_metrics": forecast_metrics,
     "model_choice": model_choice,
+    "forecast_summary": forecast_summary,
+    "forecast_table": forecast_table,
+    "metric_table": metric_table,
+    "ml_report": ml_report,
+    "high_risk_hotspots": high_risk_hotspots,
     "arima_forecast": _fitted(forecasting.ARIMA),
     "additive_forecast": _fitted(forecasting.ADDITIVE),
     "adf_test": adf_test,

@@ -534,3 +534,26 @@ SELECT least(count(*) FILTER (WHERE has_coordinates), 500) || ' records (sample)
 ORACLES["model_split"] = with_e("""
 SELECT cluster_id, risk_score, cluster_size, top_crime_type FROM hot WHERE model_type = 'DBSCAN'
 ORDER BY risk_score DESC, cluster_id LIMIT 5""", GRID, BLOBS)
+
+_NAIVE = """
+nf AS (
+  SELECT series_id AS crime_type, 'one' AS model_type, date, one AS forecast FROM l WHERE two IS NOT NULL
+  UNION ALL SELECT series_id, 'two', date, two FROM l WHERE two IS NOT NULL)
+"""
+ORACLES["forecast_summary"] = with_o("""
+SELECT crime_type, model_type, count(*) AS forecast_days, min(date) AS start_date, max(date) AS end_date,
+  round(avg(forecast), 1) AS avg_forecast FROM nf GROUP BY 1, 2""", SERIES, _SCORED, _NAIVE)
+ORACLES["forecast_table"] = with_o("""
+SELECT strftime(date, '%Y-%m-%d') AS date, round(forecast, 1) AS forecast, round(forecast / 3, 1) AS lower_ci,
+  round(forecast * 2, 1) AS upper_ci FROM nf WHERE model_type = 'one'""", SERIES, _SCORED, _NAIVE)
+ORACLES["metric_table"] = with_o(" " + " UNION ALL ".join(
+    f"SELECT series_id, '{m}' AS metric, round(CAST(max({m}) FILTER (WHERE model_type = 'one') AS DOUBLE), 6) AS one, "
+    f"round(CAST(max({m}) FILTER (WHERE model_type = 'two') AS DOUBLE), 6) AS two FROM me GROUP BY series_id"
+    for m in ("mae", "rmse", "mape", "zero_days", "test_days")), SERIES, _SCORED)
+ORACLES["ml_report"] = ("WITH " + ", ".join([E_BASE, GRID, BLOBS, O_BASE, SERIES, _SCORED, _NAIVE]) + """
+SELECT (SELECT count(*) FROM e) AS feature_count, (SELECT count(*) FROM nf) AS forecast_count,
+  (SELECT count(DISTINCT cluster_id) FROM blob) AS cluster_count, (SELECT count(*) FROM hot) AS hotspot_count""")
+ORACLES["high_risk_hotspots"] = with_e("""
+SELECT cluster_id, printf('(%.4f, %.4f)', center_lat, center_lon) AS location, size, risk_score, top_crime_type,
+  printf('%.1f%%', violent_crime_ratio * 100) AS violent_ratio FROM profile WHERE risk_score > 70
+ORDER BY risk_score DESC, cluster_id LIMIT 8""", GRID, BLOBS)

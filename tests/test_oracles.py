@@ -59,6 +59,8 @@ def test_same_as_sql(spark, duck, name):
     want = dict(zip(relation.columns, map(str, relation.types)))
     assert {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema} == want
     assert rows_of(df.columns, df.collect()) == rows_of(relation.columns, relation.fetchall())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_entry_is_a_registered_query(spark):

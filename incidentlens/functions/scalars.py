@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -142,7 +143,10 @@ def equal_width_bin(x: Column, low: Column, high: Column, bins: int) -> Column:
 
 
 def in_bounding_box(lat: Column, lon: Column, box=BOUNDING_BOX) -> Column:
-    return lat.between(*box["latitude"]) & lon.between(*box["longitude"])
+    """Decimal bounds compare with stored decimals and with doubles without a
+    cast of the column, so the scan can skip row groups."""
+    low_high = lambda side: [F.lit(Decimal(str(v))) for v in box[side]]
+    return lat.between(*low_high("latitude")) & lon.between(*low_high("longitude"))
 
 
 def trend_of(now: Column, before: Column) -> Column:

@@ -107,10 +107,6 @@ def weighted_vectors(scaled: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(distinct)
 
 
-def _best_of(vectors: DataFrame, k: int, seed: int, restarts: int, threads: int) -> KMeansModel:
-    return _fit_all(vectors, [k], seed, restarts, threads)[k]
-
-
 def _fit_all(vectors, ks, seed, restarts, threads) -> dict[int, KMeansModel]:
     """The cheapest of `restarts` fits for each k; fits run as concurrent jobs."""
 
@@ -157,6 +153,21 @@ def _dispersion(vectors: DataFrame, columns: list[str]) -> tuple[float, float]:
     return row["n"], ss
 
 
+def _sweep(vectors, columns, ks, seed, restarts, threads):
+    """Best model and metrics for each k."""
+    n, ss = _dispersion(vectors, columns)
+    models = _fit_all(vectors, ks, seed, restarts, threads)
+    measure = lambda k: _evaluate(vectors, models[k], k, n, ss)
+    with ThreadPool(threads) as pool:
+        rows = pool.map(inheritable_thread_target(vectors.sparkSession)(measure), sorted(models))
+    return models, rows
+
+
+def _recommend(spark, rows) -> DataFrame:
+    ddl = "k int, inertia double, silhouette_squared_euclidean double, calinski_harabasz double"
+    return with_recommendation(spark.createDataFrame(rows, ddl))
+
+
 def kmeans_sweep(
     scaled: DataFrame,
     columns: list[str] | None = None,
@@ -168,25 +179,12 @@ def kmeans_sweep(
     """Metrics of the best fit for k = 2..max_k, one row per k, with the elbow
     and the k of the best silhouette, which is the recommended one."""
     columns = columns or scaled_names()
-    spark = scaled.sparkSession
     vectors = materialize(weighted_vectors(scaled, columns)).cache()
     try:
-        n, ss = _dispersion(vectors, columns)
-        models = _fit_all(vectors, range(2, max_k + 1), seed, restarts, threads)
-        with ThreadPool(threads) as pool:
-            rows = pool.map(
-                inheritable_thread_target(spark)(
-                    lambda k: _evaluate(vectors, models[k], k, n, ss)
-                ),
-                sorted(models),
-            )
+        _, rows = _sweep(vectors, columns, range(2, max_k + 1), seed, restarts, threads)
     finally:
         vectors.unpersist()
-    table = spark.createDataFrame(
-        rows,
-        "k int, inertia double, silhouette_squared_euclidean double, calinski_harabasz double",
-    )
-    return with_recommendation(table)
+    return _recommend(scaled.sparkSession, rows)
 
 
 def with_recommendation(sweep: DataFrame) -> DataFrame:
@@ -227,14 +225,15 @@ def kmeans_labels(
     """Rows with `cluster_id`, and the metrics of the fit.  Without `k` the
     recommended one of the sweep is used."""
     columns = columns or scaled_names()
-    if k is None:
-        k = kmeans_sweep(scaled, columns, max_k, seed, restarts, threads).first().recommended_k
     vectors = materialize(weighted_vectors(scaled, columns)).cache()
     try:
-        model = _best_of(vectors, k, seed, restarts, threads)
-        metrics = _evaluate(vectors, model, k, *_dispersion(vectors, columns))
+        ks = range(2, max_k + 1) if k is None else [k]
+        models, rows = _sweep(vectors, columns, ks, seed, restarts, threads)
     finally:
         vectors.unpersist()
+    if k is None:
+        k = _recommend(scaled.sparkSession, rows).first().recommended_k
+    model, metrics = models[k], next(r for r in rows if r["k"] == k)
     centers = [[float(v) for v in c] for c in model.clusterCenters()]
     return nearest_center(scaled, columns, centers), metrics
 

@@ -55,12 +55,25 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    base = scratch_dir(spark).rstrip("/")
+    return f"{base}/incidentlens/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, at the end of a job.
+    DataFrames that still read them stop working."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(_own_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Cuts lineage in iterative jobs and lets a result be used several times
     without recomputing it.  Being an ordinary table it survives the loss of
     executors, keeps column pruning, and has a known size and row count."""
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/incidentlens/{uuid.uuid4().hex}"
+    path = f"{_own_scratch(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

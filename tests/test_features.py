@@ -99,3 +99,22 @@ def test_dashboard_filter(spark):
     assert ids(start=date(2024, 1, 1), end=date(2024, 1, 2)) == ["1", "2"]
     assert ids(crime_types=["A"]) == ["1", "3"] and ids(crime_types=[]) == ["1", "2", "3"]
     assert ids(hours="Night") == ["1", "3"]
+
+
+def test_filters_reach_the_stored_feature_table(spark, tmp_path):
+    rows = [("1", "2024-01-01T00:00:00", {"primary_type": "THEFT", "latitude": "41.8", "longitude": "-87.6"})]
+    path = str(tmp_path / "features")
+    features.features_for_storage(features.all_features(typed(raw(spark, rows)))).write.parquet(path)
+    stored = spark.read.parquet(path)
+    scan = filters.spatial_scan(stored, "THEFT", "recent_year", date(2024, 2, 1))
+    assert scan.count() == 1
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        again = filters.spatial_scan(stored, "THEFT", "recent_year", date(2024, 2, 1))
+        plan = again._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    for part in ("GreaterThanOrEqual(latitude", "LessThanOrEqual(longitude", "EqualTo(primary_type", "GreaterThanOrEqual(date"):
+        assert part in pushed
+    assert "description" not in plan[plan.index("ReadSchema") :]

@@ -91,3 +91,31 @@ def test_components_of_path_star_and_loners(spark):
     sizes = sorted(map(len, groups.values()))
     assert sizes == [1, 1, 51, 61]
     assert all(label in members for label, members in groups.items())
+
+
+def test_scratch_is_cleared():
+    """In a session of its own folder name, since others still read theirs."""
+    from unittest.mock import MagicMock
+
+    from incidentlens import session
+
+    spark = MagicMock()
+    spark.conf.get.return_value = "/shared/"
+    spark.sparkContext.applicationId = "app-1"
+    session.clear_scratch(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path.assert_called_once_with("/shared/incidentlens/app-1")
+    path.return_value.getFileSystem.return_value.delete.assert_called_once()
+
+
+def test_cluster_session_needs_a_shared_folder():
+    from unittest.mock import MagicMock
+
+    from incidentlens import session
+
+    spark = MagicMock()
+    spark.conf.get.return_value = None
+    spark.sparkContext.getCheckpointDir.return_value = None
+    spark.sparkContext.master = "yarn"
+    with pytest.raises(ValueError):
+        session.scratch_dir(spark)

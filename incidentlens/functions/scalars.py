@@ -137,9 +137,11 @@ def linspace_bin(x: Column, low: Column, high: Column, edges: int) -> Column:
 
 
 def equal_width_bin(x: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based right-closed bin; the minimum belongs to the first bin."""
+    """0-based right-closed bin; the minimum belongs to the first bin.  If all
+    values are equal they lie in the middle of a slightly widened range."""
     raw = F.ceil((x - low) / ((high - low) / bins)).cast("int") - 1
-    return F.greatest(F.least(raw, F.lit(bins - 1)), F.lit(0))
+    clamped = F.greatest(F.least(raw, F.lit(bins - 1)), F.lit(0))
+    return F.when(high > low, clamped).when(x.isNotNull(), F.lit((bins + 1) // 2 - 1))
 
 
 def in_bounding_box(lat: Column, lon: Column, box=BOUNDING_BOX) -> Column:

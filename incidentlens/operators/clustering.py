@@ -132,7 +132,8 @@ def _evaluate(vectors: DataFrame, model: KMeansModel, k: int, total_n: float, to
     Calinski-Harabasz ratio from total and within-cluster dispersion."""
     inertia = model.summary.trainingCost
     silhouette = ClusteringEvaluator(weightCol="n").evaluate(model.transform(vectors))
-    ratio = ((total_ss - inertia) / (k - 1)) / (inertia / (total_n - k)) if inertia else None
+    usable = inertia > 0 and total_n > k
+    ratio = ((total_ss - inertia) / (k - 1)) / (inertia / (total_n - k)) if usable else None
     return {
         "k": k,
         "inertia": inertia,

@@ -36,7 +36,7 @@ def overall_stats(features: DataFrame) -> DataFrame:
         F.sum("violent").alias("violent_crimes"),
         F.sum("property").alias("property_crimes"),
         F.sum("located").alias("with_coordinates"),
-        (F.sum("miles") / F.sum("measured")).alias("avg_distance_from_center"),
+        F.try_divide(F.sum("miles"), F.sum("measured")).alias("avg_distance_from_center"),
     )
 
 

@@ -125,7 +125,7 @@ def analytics_summary(spark, sf):
     return marts.analytics_summary(events_raw(spark, sf), staged)
 
 
-def pipeline_status(spark, sf):
+def component_status(spark, sf):
     feats = materialize(e_features(spark, sf).select("id", "latitude", "longitude", "district_num"))
     inside = S.in_bounding_box(F.col("latitude"), F.col("longitude"))
     return reports.pipeline_status(
@@ -138,8 +138,8 @@ def pipeline_status(spark, sf):
     )
 
 
-def pipeline_health(spark, sf):
-    return reports.overall_status(pipeline_status(spark, sf))
+def component_health(spark, sf):
+    return reports.overall_status(component_status(spark, sf))
 
 
 def freshness(spark, sf):
@@ -631,8 +631,8 @@ QUERIES: dict[str, Query] = {
     "trend_classification": on(marts.trend_classification, o_staged),
     "top_movers": on(marts.top_movers, o_staged),
     "analytics_summary": analytics_summary,
-    "pipeline_status": pipeline_status,
-    "pipeline_health": pipeline_health,
+    "component_status": component_status,
+    "component_health": component_health,
     "freshness": freshness,
     "temporal_features": temporal_features,
     "spatial_features": spatial_features,

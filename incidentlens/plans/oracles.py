@@ -288,13 +288,13 @@ UNION ALL SELECT 'Crime Types', count(DISTINCT primary_type) FROM e
 UNION ALL SELECT 'Daily Patterns', count(DISTINCT incident_date) FROM e
 UNION ALL SELECT 'Location Analysis', count(*) FROM (
   SELECT 1 FROM e WHERE location_description IS NOT NULL GROUP BY location_description, district, ward HAVING count(*) >= 2)"""),
-    "pipeline_status": with_e("""
+    "component_status": with_e("""
 SELECT component, records, CASE WHEN records > 0 THEN 'COMPLETE' ELSE 'EMPTY' END AS status FROM (
   SELECT 'Raw Data' AS component, count(*) AS records FROM events
   UNION ALL SELECT 'Feature Engineering', count(*) FROM f
   UNION ALL SELECT 'Spatial Clustering', count(*) FROM located
   UNION ALL SELECT 'Unknown District', count(*) FROM f WHERE district_num > 24)"""),
-    "pipeline_health": with_e("""
+    "component_health": with_e("""
 SELECT CASE WHEN (SELECT count(*) FROM f WHERE district_num > 24) > 0 AND (SELECT count(*) FROM located) > 0
   THEN 'FULLY OPERATIONAL' ELSE 'PARTIALLY COMPLETE' END AS status"""),
     "freshness": """

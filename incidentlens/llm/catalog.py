@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, mixing
+from . import bpe, chat, mixing, sharding
 
 QUERIES = {
+    "op1_shard_differencing": sharding.query,
+    "op3_bpe_round_trip": bpe.query,
     "op4_mix_sources": mixing.query,
     "op6_chat_format": chat.query,
 }

@@ -33,3 +33,24 @@ def salted(df: DataFrame, salt: str, parts: int, *by: str) -> DataFrame:
     """Add a salt of `parts` values that depends on `by` alone, so it is the same
     however often a task is run."""
     return df.withColumn(salt, F.pmod(F.xxhash64(*by), F.lit(parts)).cast("int"))
+
+
+def byte_slices(batch, column: str, limit: int):
+    """Cut an Arrow batch into slices whose `column` holds about `limit` bytes (a
+    longer text is a slice of its own), so that memory does not follow the size
+    of batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    values = batch.column(column)
+    if values.offset or len(values) == 0:
+        offsets = np.cumsum([0] + [len(v.as_buffer()) if v.is_valid else 0 for v in values])
+    else:
+        wide = np.int64 if values.type == pa.large_string() else np.int32
+        offsets = np.frombuffer(values.buffers()[1], wide, len(values) + 1)
+    start = 0
+    while start < len(values):
+        stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
+        stop = min(max(stop, start + 1), len(values))
+        yield batch.slice(start, stop - start)
+        start = stop

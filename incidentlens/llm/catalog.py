@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, sharding
+from . import bpe, chat, fingerprints, mixing, sharding
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
     "op3_bpe_round_trip": bpe.query,
     "op4_mix_sources": mixing.query,
     "op6_chat_format": chat.query,
+    "op9_merkle_fingerprints": fingerprints.query,
 }
 
 ORACLES = {
     "op4_mix_sources": mixing.SQL,
     "op6_chat_format": chat.SQL,
+    "op9_merkle_fingerprints": fingerprints.SQL,
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, mixing, sharding
+from . import bpe, chat, fingerprints, jaccard, mixing, sharding
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
     "op3_bpe_round_trip": bpe.query,
     "op4_mix_sources": mixing.query,
+    "op5_shingle_jaccard": jaccard.query,
     "op6_chat_format": chat.query,
     "op9_merkle_fingerprints": fingerprints.query,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, jaccard, mixing, sharding
+from . import bpe, chat, fingerprints, jaccard, mixing, sharding, substrings
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mix_sources": mixing.query,
     "op5_shingle_jaccard": jaccard.query,
     "op6_chat_format": chat.query,
+    "op8_repeated_passages": substrings.query,
     "op9_merkle_fingerprints": fingerprints.query,
 }
 

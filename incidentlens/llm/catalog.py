@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, jaccard, mixing, sharding, substrings
+from . import bpe, chat, fingerprints, jaccard, linededup, mixing, sharding, substrings
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_chat_format": chat.query,
     "op8_repeated_passages": substrings.query,
     "op9_merkle_fingerprints": fingerprints.query,
+    "op10_fuzzy_lines": linededup.query,
 }
 
 ORACLES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, jaccard, linededup, mixing, sharding, substrings
+from . import bpe, chat, fingerprints, jaccard, linededup, mixing, neighbours, sharding, substrings
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mix_sources": mixing.query,
     "op5_shingle_jaccard": jaccard.query,
     "op6_chat_format": chat.query,
+    "op7_prefix_forest": neighbours.query,
     "op8_repeated_passages": substrings.query,
     "op9_merkle_fingerprints": fingerprints.query,
     "op10_fuzzy_lines": linededup.query,

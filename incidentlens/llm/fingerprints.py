@@ -141,11 +141,11 @@ def edited_fingerprints(
     """Every row's fingerprint, that of its edited text (the last third replaced by
     the beginning of the next document), and their likenesses."""
     value = F.coalesce(F.col(text), F.lit(""))
+    # nothing but key and text, so that both joins below share one exchange of the texts
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("key"),
-        value.alias("text"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("key"), value.alias("text")
     )
+    id_type = docs.select(F.col(doc_id)).schema[0].dataType
     third = F.floor(F.length("text") / 3).cast("int")
     sizes = materialize(rows.select("key", third.alias("third")))
     near = materialize(_neighbours(sizes))
@@ -165,7 +165,8 @@ def edited_fingerprints(
         # repeated ids may differ in length: each takes its own third of what is given
         F.substr("given", F.lit(1), third),
     )
-    both = rows.join(told, "key").select("doc_id", "text", edited.alias("edited"), "next_fingerprint")
+    named = F.when(F.col("key") != LAST_ID, F.col("key")).cast(id_type).alias("doc_id")
+    both = rows.join(told, "key").select(named, "text", edited.alias("edited"), "next_fingerprint")
     marked = both.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),

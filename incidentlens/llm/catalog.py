@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, jaccard, linededup, mixing, neighbours, sharding, substrings
+from . import bpe, chat, fingerprints, jaccard, linededup, mixing, neighbours, sharding, substrings, toxicity
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
+    "op2_toxicity": toxicity.query,
     "op3_bpe_round_trip": bpe.query,
     "op4_mix_sources": mixing.query,
     "op5_shingle_jaccard": jaccard.query,

@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .series import MIN_DAYS
 
 Z95 = NormalDist().inv_cdf(0.975)
 Z80 = NormalDist().inv_cdf(0.9)
@@ -188,7 +187,7 @@ def run_model(
     order: tuple[int, int, int] = (1, 1, 1),
     share: float = 0.8,
     offset_from_train: bool = False,
-    min_days: int = MIN_DAYS,
+    min_days: int | None = None,
 ) -> DataFrame:
     """Fit each series of (series_id, date, y) and return one long table.
 
@@ -196,7 +195,8 @@ def run_model(
     model fitted on that share.  kind = "future": `days_ahead` days after the
     last one, from a model refitted on all days; `offset_from_train` instead
     uses the training fit's first steps under those dates.  kind = "error": a
-    single row for a series that failed.  `params` describes the fit."""
+    single row for a series that failed.  `params` describes the fit.  A series is
+    too short only if the caller says so by `min_days`."""
     forecast = _model(model_type, order)
     name = ARIMA if model_type.lower() == ARIMA.lower() else ADDITIVE
 
@@ -224,7 +224,7 @@ def run_model(
             )
 
         try:
-            if n <= min_days:
+            if min_days is not None and n <= min_days:
                 raise ValueError(f"needs more than {min_days} days, has {n}")
             cut = int(n * share)
             future = day[-1] + 1 + np.arange(days_ahead)

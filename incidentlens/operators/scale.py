@@ -14,6 +14,9 @@ from ..session import materialize
 BROADCAST_ROWS = 500_000
 # Beyond it, keys with more than this fraction (1/n) of the rows count as hot.
 HOT_SHARE = 2_000
+# Ordered work is cut into slices of about this many rows.
+SLICE_ROWS = 500_000
+MIN_SLICES, MAX_SLICES = 16, 1_024
 
 
 def lookup_join(
@@ -76,12 +79,19 @@ def block_join(
     return repeated.join(cut, [*keys, "_block"]).drop("_block")
 
 
-def slice_by_value(df: DataFrame, value: str, slices: int = 64) -> DataFrame:
+def slices_for(rows: int) -> int:
+    """Number of slices for ordered work on so many rows: a task sorts about
+    `SLICE_ROWS` of them.  The cut points are an expression, so they are limited."""
+    return min(MAX_SLICES, max(MIN_SLICES, -(-rows // SLICE_ROWS)))
+
+
+def slice_by_value(df: DataFrame, value: str, slices: int | None = None) -> DataFrame:
     """Add `_slice`: the position of `value` among approximate quantiles of it.
 
     Slices follow the order of the values and hold about equally many rows, and
     the slice is a pure function of the value, so it is the same however often
-    the plan is run.  Only the fixed number of cut points reaches the driver."""
+    the plan is run.  Only the cut points reach the driver."""
+    slices = slices or slices_for(df.count())
     wanted = [i / slices for i in range(1, slices)]
     cuts = sorted(set(df.agg(F.percentile_approx(value, wanted, 1000)).first()[0] or []))
     above = [(F.col(value) > F.lit(c)).cast("int") for c in cuts]
@@ -92,9 +102,9 @@ def running_total(df: DataFrame, value: str, weight: Column, out: str = "through
     """Sum of `weight` over all rows up to and including each one in the order
     of `value` (values must be distinct), without one global window.
 
-    Rows are sliced by value; totals of the slices, of which there is a fixed
-    number, are accumulated and added to the running sum inside each slice."""
-    sliced = materialize(slice_by_value(df.withColumn("_w", weight), value))
+    Rows are sliced by value; totals of the slices, one small row each, are
+    accumulated and added to the running sum inside each slice."""
+    sliced = slice_by_value(materialize(df.withColumn("_w", weight)), value)
     within = Window.partitionBy("_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -112,9 +122,10 @@ def running_total(df: DataFrame, value: str, weight: Column, out: str = "through
 def dense_numbers(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
     """Number rows 0, 1, 2, ... by `value`, without a global window.
 
-    Rows of equal value are put in 64 ranges of a hash of `tie` and numbered
-    within those, so even if all values are equal no task gets all rows."""
-    part = F.shiftright(F.xxhash64(tie), 58)
+    Rows of equal value are dealt by a hash of `tie` to as many parts as the number
+    of rows asks for and numbered within those, so even if all values are equal
+    no task gets all rows."""
+    part = F.pmod(F.xxhash64(tie), F.lit(slices_for(df.count())))
     parted = df.withColumn("_part", part)
     counts = materialize(parted.groupBy(value, "_part").agg(F.count("*").alias("_n")))
     earlier = Window.partitionBy(value).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +148,7 @@ def dense_numbers(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
 
 def with_neighbours(df: DataFrame, value: str, prev: str, next_: str) -> DataFrame:
     """The next smaller and next larger of distinct values, by slices."""
-    sliced = materialize(slice_by_value(df, value))
+    sliced = slice_by_value(materialize(df), value)
     inside = Window.partitionBy("_slice").orderBy(value)
     across = Window.orderBy("_slice")
     ends = (

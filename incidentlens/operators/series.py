@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOTAL = "ALL"
-MIN_DAYS = 30
 
 
 def daily_by_type(incidents: DataFrame, crime_types=None) -> DataFrame:

@@ -78,8 +78,11 @@ def spatial_analysis(
 ) -> dict[str, object]:
     """Both clusterings with profiles, or {"error": ...} below 100 rows.
 
-    The clustering input is written once; everything reads that table."""
-    located = spatial_scan(features, crime_type, time_period, as_of, violent_only=violent_only)
+    The clustering input is written once; everything reads that table.  Of `eps` and
+    `min_samples` a given one is kept (0 included), the other one is tuned."""
+    located = materialize(
+        spatial_scan(features, crime_type, time_period, as_of, violent_only=violent_only)
+    )
     if not enough_rows(located, MIN_CLUSTER_ROWS):
         return {"error": "Insufficient data"}
     gridded = materialize(clustering.grid_features(located))
@@ -88,7 +91,8 @@ def spatial_analysis(
     by_kmeans, metrics = clustering.kmeans_labels(scaled, columns, k, **kmeans_options)
     if eps is None or min_samples is None:
         tuned_eps, tuned_min = tune_dbscan(scaled, columns)
-        eps, min_samples = eps or tuned_eps, min_samples or tuned_min
+        eps = tuned_eps if eps is None else eps
+        min_samples = tuned_min if min_samples is None else min_samples
     by_density = dbscan(
         scaled, columns, eps, min_samples, order_by=-F.unix_micros(F.col("date").cast("timestamp"))
     )

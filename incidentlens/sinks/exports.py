@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import reports
+from ..session import materialize
 
 FEATURE_EXPORT = (
     "id",
@@ -113,7 +114,7 @@ def export_all(
     model_performance: DataFrame | None = None,
     sample_size: int = 5000,
 ) -> None:
-    sample = feature_sample(features, sample_size)
+    sample = materialize(feature_sample(features, sample_size))
     write_csv(sample, f"{folder}/crime_features")
     write_csv(hotspot_export(hotspots), f"{folder}/crime_hotspots")
     write_csv(forecast_export(forecasts), f"{folder}/crime_forecasts")

@@ -119,3 +119,29 @@ def test_cluster_session_needs_a_shared_folder():
     spark.sparkContext.master = "yarn"
     with pytest.raises(ValueError):
         session.scratch_dir(spark)
+
+
+def test_slices_follow_the_rows():
+    from incidentlens.operators import scale
+
+    assert scale.slices_for(0) == scale.MIN_SLICES
+    assert scale.slices_for(100 * scale.SLICE_ROWS) == 100
+    assert scale.slices_for(10**12) == scale.MAX_SLICES
+
+
+def test_order_is_the_same_for_any_number_of_slices(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from incidentlens.operators import scale
+
+    df = spark.range(500).select((F.col("id") * 7 % 1009).alias("v"))
+    found = []
+    for n in (1, 3, 64):
+        monkeypatch.setattr(scale, "slices_for", lambda rows, n=n: n)
+        found.append(
+            (
+                sorted(map(tuple, scale.running_total(df, "v", F.col("v")).collect())),
+                sorted(map(tuple, scale.with_neighbours(df, "v", "p", "n").collect()), key=repr),
+            )
+        )
+    assert found[0] == found[1] == found[2]

@@ -111,7 +111,7 @@ def test_exact_likelihood_matches_covariance_matrix():
 
 def test_forecasts_of_many_series(spark):
     df = daily(spark, {"a": simulate(0.3, -0.5, 120), "b": simulate(0.0, 0.4, 90, 1), "short": range(20)})
-    out = fc.run_model(df, "arima", days_ahead=14)
+    out = fc.run_model(df, "arima", days_ahead=14, min_days=30)
     rows = out.collect()
     errors = [r for r in rows if r.kind == "error"]
     assert [e.series_id for e in errors] == ["short"] and "30 days" in errors[0].error
@@ -169,3 +169,14 @@ def test_p_values_at_published_critical_values():
     for stat, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
         got = NormalDist().cdf(sum(c * stat**i for i, c in enumerate(fc.P_SMALL)))
         assert got == pytest.approx(p, abs=0.002)
+
+
+def test_short_series_is_fitted_unless_the_caller_objects(spark):
+    from incidentlens.operators.forecasting import run_model
+
+    ten = spark.sql(
+        "SELECT 's' AS series_id, date_add(DATE'2024-01-01', cast(id AS int)) AS date,"
+        " cast(5 + id % 3 AS double) AS y FROM range(10)"
+    )
+    assert {r.kind for r in run_model(ten, "ARIMA", days_ahead=2).collect()} == {"test", "future"}
+    assert {r.kind for r in run_model(ten, "ARIMA", min_days=30).collect()} == {"error"}

@@ -8,11 +8,12 @@ with n tokens of such a class survives only n - k + 1 missing ones, so prefixes
 extended until all their classes together survive one more token than may be missing.
 Combinations are formed within hash parts of a class, whose number follows the size of
 the set (sets near a border use both numbers), so their number is linear in the size.
+Long sets, whose prefixes are long and easily share a token, use one token more.
 
 Equal sets are one class of documents.  In each bucket every class is first compared
-with the bucket's smallest one; then classes of different components are compared with
-each other, after two exact bounds (set sizes, and the parity bits of the tokens).
-Every pair is verified on the whole texts.
+with the one in the middle, whose tokens are the most frequent; then classes of different components are compared with
+each other, after exact bounds (set sizes, parity bits of the tokens, for long sets
+counts of tokens).  Every pair left is verified on the whole texts.
 
 Frequencies are counted over all documents, in a table of fixed size by token hash.
 They decide the index only; results do not depend on them.
@@ -46,13 +47,18 @@ SLICE_BYTES = 2_000_000
 SLICE_ROWS = 4_000  # a row's place in its slice has 12 bits
 COUNTERS = 1 << 18
 COUNTER_ROWS = 64
-FREQUENT = 16  # times the mean count: indexed in pairs
-VERY_FREQUENT = 256  # times the mean count: indexed in triples
-LEAST_FREQUENT = 1_000
+NOISE = 6  # standard deviations by which counters differ by chance
+FREQUENT = 30  # counts above chance: tokens indexed in pairs
+VERY_FREQUENT = 3_000  # counts above chance: tokens indexed in triples
 PART_TOKENS = 8
+LONG_LEVEL = 7  # from here on (about 1000 tokens) combinations have one more token
 BITS = 1024
 BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
+# Beyond this size parity bits say little; such sets also have counts of tokens.
+LONG_SET = 1_500
+COUNTS = 1024
 BROADCAST_ROWS = 500_000
+LOOKUP_ROWS = 100_000
 
 
 def token_sets(column, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,8 +154,8 @@ def _survey(shingle: int):
     return run
 
 
-def frequency_classes(survey: DataFrame) -> np.ndarray:
-    """Class (1, 2 or 3) of every counter; a table of fixed size."""
+def token_counters(survey: DataFrame) -> np.ndarray:
+    """Counts of tokens by hash over all documents; a table of fixed size."""
     blocks = survey.filter("block is not null").select("block", F.posexplode("counts"))
     summed = blocks.groupBy("block", "pos").agg(F.sum("col").alias("n"))
     packed = summed.groupBy("block").agg(
@@ -158,10 +164,13 @@ def frequency_classes(survey: DataFrame) -> np.ndarray:
     counts = np.zeros((COUNTER_ROWS, COUNTERS // COUNTER_ROWS), np.int64)
     for block, n in packed.collect():  # COUNTERS numbers in all
         counts[block] = n
-    counts = counts.ravel()
-    mean = counts.mean()
-    frequent = counts > max(FREQUENT * mean, LEAST_FREQUENT)
-    very = counts > max(VERY_FREQUENT * mean, FREQUENT * LEAST_FREQUENT)
+    return counts.ravel()
+
+
+def frequency_classes(counts: np.ndarray) -> np.ndarray:
+    """Class (1, 2 or 3) of every counter."""
+    chance = counts.mean() + NOISE * np.sqrt(counts.mean())
+    frequent, very = counts > chance + FREQUENT, counts > chance + VERY_FREQUENT
     return (1 + frequent + very).astype(np.uint8)
 
 
@@ -178,23 +187,24 @@ def levels(size: int, percent: int) -> range:
 
 
 def mixed_keys(tokens: np.ndarray, classes: np.ndarray, percent: int) -> list[np.ndarray]:
-    """Index keys of one set that has frequent tokens in its plain prefix."""
+    """Index keys of one set that is long or has too few rare tokens."""
     order = np.lexsort((tokens, classes))
     tokens, classes = tokens[order], classes[order]
     out = []
     for level in levels(len(tokens), percent):
-        part = np.where(
-            classes > 1, (mix(tokens + U(7)) % U(1 << level)).astype(np.int64), 0
-        ) * 4 + classes
+        # tokens in a combination
+        joint = np.minimum(classes + (level >= LONG_LEVEL), 3)
+        parts = (mix(tokens + U(7)) % U(1 << level)).astype(np.int64)
+        part = np.where(joint > 1, parts, 0) * 4 + classes
         by = np.argsort(part, kind="stable")
         sorted_part = part[by]
         first = np.concatenate(([True], sorted_part[1:] != sorted_part[:-1]))
         rank = np.arange(len(by)) - np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
         earlier = np.empty(len(by), np.int64)
         earlier[by] = rank
-        survives = np.cumsum((classes == 1) | (earlier >= classes - 1))
+        survives = np.cumsum(earlier >= joint - 1)
         prefix = int(np.searchsorted(survives, may_miss(len(tokens), percent) + 1)) + 1
-        head, kinds, parts = tokens[:prefix], classes[:prefix], part[:prefix]
+        head, kinds, parts = tokens[:prefix], joint[:prefix], part[:prefix]
         out.append(mix(head[kinds == 1] + U(11)))
         for k in (2, 3):
             of_kind = head[kinds == k]
@@ -215,14 +225,16 @@ def prefix_keys(tokens, offsets, classes, percent: int) -> tuple[np.ndarray, np.
     """Index keys of every set, end to end, and their offsets."""
     size = np.diff(offsets)
     kinds = classes[(tokens % U(COUNTERS)).astype(np.int64)]
-    # in sets without frequent tokens the prefix is the first few by hash
+    # of a set with enough rare tokens the prefix is the first few of those by hash
     length = np.where(size > 5, may_miss(size, percent) + 1, 0)  # smaller sets must be equal
-    odd = np.concatenate(([0], np.cumsum(kinds > 1)))
-    plain = odd[offsets[1:]] == odd[offsets[:-1]]
+    rare = kinds == 1
+    from_ = np.concatenate(([0], np.cumsum(rare)))[offsets]
+    plain = (np.diff(from_) >= length) & (size < PART_TOKENS << LONG_LEVEL)
     short = np.where(plain, length, 0)
     ends = np.cumsum(short)
-    place = np.repeat(offsets[:-1] - (ends - short), short) + np.arange(int(ends[-1]) if len(ends) else 0)
-    keys = mix(tokens[place] + U(11))
+    total = int(ends[-1]) if len(ends) else 0
+    place = np.repeat(from_[:-1] - (ends - short), short) + np.arange(total)
+    keys = mix(tokens[rare][place] + U(11))
     mixed = np.flatnonzero(~plain & (length > 0))
     if len(mixed) == 0:
         return keys, np.concatenate(([0], ends))
@@ -248,14 +260,51 @@ def parity_bits(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(rows, BITS), axis=1).view(np.int64)
 
 
-def _index(shingle: int, percent: int, classes):
+def token_counts(tokens: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
+    """For long sets the number of tokens by hash: two sets differ in at least as
+    many tokens as their counts do."""
+    out: list[bytes | None] = [None] * (len(offsets) - 1)
+    for row in np.flatnonzero(np.diff(offsets) > LONG_SET):
+        own = tokens[offsets[row] : offsets[row + 1]]
+        spots = ((own >> U(10)) % U(COUNTS)).astype(np.int64)
+        out[row] = np.bincount(spots, minlength=COUNTS).astype("<u4").tobytes()
+    return out
+
+
+def _counts_close(percent: int):
+    """Keep the pairs of long sets that their counts do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                one, two = (
+                    np.frombuffer(b"".join(part.column(c).to_pylist()), "<u4")
+                    .astype(np.int64)
+                    .reshape(-1, COUNTS)
+                    for c in ("counts_a", "counts_b")
+                )
+                differ = np.abs(one - two).sum(1)
+                total = one.sum(1) + two.sum(1)
+                good = differ * (100 + percent) <= total * (100 - percent)
+                yield part.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
+def _index(shingle: int, percent: int, counters):
+    """Per row: set size, node, index keys, sketches, and the mean frequency of its
+    tokens, which is largest for the set in the middle of a group."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = classes.value
+        counts, classes = counters.value
         for batch in batches:
             for part in _slices(batch, "text"):
                 tagged, offsets = token_sets(part.column("text"), shingle)
                 tokens = tagged & TOKEN
-                keys, ends = prefix_keys(tokens, offsets, table, percent)
+                keys, ends = prefix_keys(tokens, offsets, classes, percent)
+                common = counts[(tokens % U(COUNTERS)).astype(np.int64)].astype(U)
+                weight = _sums(common, offsets) / np.maximum(np.diff(offsets), 1)
                 bits = parity_bits(tokens, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -265,9 +314,11 @@ def _index(shingle: int, percent: int, classes):
                         pa.ListArray.from_arrays(
                             pa.array(ends.astype(np.int32)), pa.array(keys.view(np.int64))
                         ),
+                        pa.array(weight.astype(np.float64)),
+                        pa.array(token_counts(tokens, offsets), pa.binary()),
                         *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])],
                     ],
-                    names=["doc_id", "n", "node", "keys", *BIT_COLUMNS],
+                    names=["doc_id", "n", "node", "keys", "weight", "counts", *BIT_COLUMNS],
                 )
 
     return run
@@ -305,8 +356,25 @@ def _close_enough(a: str, b: str, percent: int):
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Of pairs of nodes (a, b), those whose texts are similar."""
+def _verified(
+    pairs: DataFrame, sets: DataFrame, nodes: DataFrame, source: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """Of pairs of nodes (a, b, and their sizes n_a, n_b), those whose texts are
+    similar.  Only texts of pairs that all bounds leave are read."""
+    pairs = materialize(pairs.distinct())
+    both_long = (F.col("n_a") > LONG_SET) & (F.col("n_b") > LONG_SET)
+    counts = sets.filter("counts is not null").select("node", "counts")
+    long = (
+        pairs.filter(both_long)
+        .join(counts.select(F.col("node").alias("a"), F.col("counts").alias("counts_a")), "a")
+        .join(counts.select(F.col("node").alias("b"), F.col("counts").alias("counts_b")), "b")
+        .select("a", "b", "counts_a", "counts_b")
+        .mapInArrow(_counts_close(percent), "a long, b long")
+    )
+    pairs = materialize(pairs.filter(~both_long).select("a", "b").unionByName(long).distinct())
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = nodes.join(wanted, "node").select("node", "first_id")
+    texts = materialize(_texts_of(wanted, source, shingle))
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return (
@@ -314,6 +382,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
         .join(two, "b")
         .select("a", "b", "text_a", "text_b")
         .mapInArrow(_similar(shingle, percent), "a long, b long")
+        .distinct()
     )
 
 
@@ -339,7 +408,8 @@ def join(
             " block int, counts array<long>",
         )
     )
-    classes = spark.sparkContext.broadcast(frequency_classes(survey))  # one byte a counter
+    counts = token_counters(survey)
+    counters = spark.sparkContext.broadcast((counts, frequency_classes(counts)))  # fixed size
     rows = survey.filter("block is null").select(
         "doc_id", "text_hash", "n_shingles", "node"
     )
@@ -350,39 +420,49 @@ def join(
     )
     bits = ", ".join(f"{c} long" for c in BIT_COLUMNS)
     indexed = source.select("doc_id", "text").mapInArrow(
-        _index(shingle, percent, classes),
-        f"doc_id {id_type}, n long, node long, keys array<long>, {bits}",
+        _index(shingle, percent, counters),
+        f"doc_id {id_type}, n long, node long, keys array<long>, weight double,"
+        f" counts binary, {bits}",
     ).filter(F.size("keys") > 0)
-    # one row per class: that of its smallest id (repeated ids: any of its equal rows)
+    # one row per class, that of its smallest id (more only if rows repeat an id)
     sets = materialize(
         indexed.join(
             nodes.select(F.col("node").alias("of"), "first_id"),
             (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
         )
-        .dropDuplicates(["node"])
         .drop("of", "doc_id", "first_id")
     )
     slim = ["node", "n", *BIT_COLUMNS]
     by_key = Window.partitionBy("key")
+    middle = F.max(F.struct("weight", "node")).over(by_key)["node"]
     members = materialize(
-        sets.select(F.explode("keys").alias("key"), "node")
-        .withColumns({"low": F.min("node").over(by_key), "high": F.max("node").over(by_key)})
+        sets.select(F.explode("keys").alias("key"), "node", "weight")
+        .withColumns(
+            {
+                "low": F.min("node").over(by_key),
+                "high": F.max("node").over(by_key),
+                "middle": middle,
+                # buckets of the same members are one bucket
+                "one": F.bit_xor(F.xxhash64("node")).over(by_key),
+                "two": F.bit_xor(F.xxhash64(F.lit(1), "node")).over(by_key),
+            }
+        )
         .filter("low < high")
-        .select("key", "node", "low")
+        .select(F.xxhash64("one", "two").alias("key"), "node", "middle")
+        .distinct()
+    )
+    stars = members.filter("node <> middle").select(
+        F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")
     )
-    active = members.select("node").distinct()
-    first_ids = nodes.join(active, "node").select("node", "first_id")
-    texts = materialize(_texts_of(first_ids, source, shingle))
-    stars = members.filter("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
     shapes = sets.select(*slim)
     near = (
         stars.distinct()
         .join(shapes.alias("x"), F.col("a") == F.col("x.node"))
         .join(shapes.alias("y"), F.col("b") == F.col("y.node"))
         .filter(_close_enough("x", "y", percent))
-        .select("a", "b")
+        .select("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
     )
-    edges = materialize(_verified(near, texts, shingle, percent))
+    edges = materialize(_verified(near, sets, nodes, source, shingle, percent))
     touched = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     labels = connected_components(touched, edges)
     # what is left: classes that share a key but are not known to be connected
@@ -404,10 +484,14 @@ def join(
             & (F.col("x.label") < F.col("y.label"))
             & _close_enough("x", "y", percent),
         )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
+        .select(
+            F.col("x.node").alias("a"),
+            F.col("y.node").alias("b"),
+            F.col("x.n").alias("n_a"),
+            F.col("y.n").alias("n_b"),
+        )
     )
-    later = materialize(_verified(rest, texts, shingle, percent))
+    later = materialize(_verified(rest, sets, nodes, source, shingle, percent))
     if not later.isEmpty():
         edges = edges.union(later)
         touched = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
@@ -415,7 +499,7 @@ def join(
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     lookup = named.join(least, "label").select("node", "rows", "label", "component_id")
-    joined = lookup_join(rows, lookup, ["node"], "rows").drop("rows")
+    joined = lookup_join(rows, lookup, ["node"], "rows", LOOKUP_ROWS).drop("rows")
     return joined.withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     )
@@ -443,7 +527,6 @@ def _texts_of(first_ids: DataFrame, source: DataFrame, shingle: int) -> DataFram
         .select("node", "text")
         # an id may be repeated with other texts
         .mapInArrow(_nodes_of(shingle), "node long, text string")
-        .dropDuplicates(["node"])
     )
 
 

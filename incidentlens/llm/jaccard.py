@@ -470,9 +470,18 @@ def join(
         members.select("key", "node")
         .join(labels, "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
-        .withColumns({"low": F.min("label").over(by_key), "high": F.max("label").over(by_key)})
+        .withColumns(
+            {
+                "low": F.min("label").over(by_key),
+                "high": F.max("label").over(by_key),
+                "first": F.min("node").over(by_key),
+            }
+        )
         .filter("low < high")
-        .select("key", "node", "label")
+        # buckets with the same first member are joined to one: alike sets share very
+        # many keys, and would meet in each of them
+        .select(F.col("first").alias("key"), "node", "label")
+        .distinct()
         .join(shapes, "node")
     )
     shown = materialize(shown)

@@ -26,7 +26,7 @@ bits within a set)."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -186,11 +186,33 @@ def levels(size: int, percent: int) -> range:
     return range(level(-(-percent * size // 100)), level(size) + 1)
 
 
+def may_link(size, percent: int):
+    """Whether a set of this size can be similar to any but an equal one: the nearest
+    is itself and one more token."""
+    return 100 * size >= percent * (size + 1)
+
+
+@cache
+def needs_single(size: int, percent: int) -> bool:
+    """Whether a similar set can be too small for combinations: a hash part with
+    tokens of all classes survives three missing tokens less than it has (five from
+    LONG_LEVEL on), which may leave none of those that must be shared."""
+    must = lambda s: -(-percent * s // 100)
+    lost = lambda level: (5 if level >= LONG_LEVEL else 3) << level
+    return any(
+        must(s) <= lost(level)
+        for s in range(max(1, must(size)), size + 1)
+        for level in levels(s, percent)
+    )
+
+
 def mixed_keys(tokens: np.ndarray, classes: np.ndarray, percent: int) -> list[np.ndarray]:
     """Index keys of one set that is long or has too few rare tokens."""
     order = np.lexsort((tokens, classes))
     tokens, classes = tokens[order], classes[order]
     out = []
+    if needs_single(len(tokens), percent):
+        out.append(mix(tokens[: may_miss(len(tokens), percent) + 1] + U(11)))
     for level in levels(len(tokens), percent):
         # tokens in a combination
         joint = np.minimum(classes + (level >= LONG_LEVEL), 3)
@@ -226,7 +248,8 @@ def prefix_keys(tokens, offsets, classes, percent: int) -> tuple[np.ndarray, np.
     size = np.diff(offsets)
     kinds = classes[(tokens % U(COUNTERS)).astype(np.int64)]
     # of a set with enough rare tokens the prefix is the first few of those by hash
-    length = np.where(size > 5, may_miss(size, percent) + 1, 0)  # smaller sets must be equal
+    # sets that are similar to equal ones only need no keys
+    length = np.where(may_link(size, percent), may_miss(size, percent) + 1, 0)
     rare = kinds == 1
     from_ = np.concatenate(([0], np.cumsum(rare)))[offsets]
     plain = (np.diff(from_) >= length) & (size < PART_TOKENS << LONG_LEVEL)

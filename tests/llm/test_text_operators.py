@@ -175,6 +175,24 @@ def test_combined_keys_are_complete():
         assert len(np.intersect1d(a, b)), (n, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85])
+def test_small_sets_are_linked(spark, percent):
+    """Sets of all sizes up to 12 with one token more, one less or one other."""
+    rows = []
+    for size in range(1, 13):
+        own = [f"s{size}w{i}" for i in range(size + 4)]
+        for words in (own, own + ["more"], own[:-1], own[:-1] + ["other"]):
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.join(docs, shingle=5, percent=percent)
+    want = sorted(brute.components(rows, 5, percent), key=repr)
+    assert tuples(found, "doc_id", "n_shingles", "component_id") == want
+    if percent == 80:
+        # sizes 4 and 5, and 5 and 6
+        links = {(n, c) for d, n, c in want if d != c}
+        assert {n for n, _ in links} >= {4, 5, 6}
+
+
 def test_representatives(docs, rows, repeated, empty):
     left = jaccard.representatives(docs)
     assert left.columns == docs.columns

@@ -21,9 +21,10 @@ Before suffixes are shuffled, each task keeps the first of equal ones, so a pass
 that a third of all documents share reaches a group once per task.
 
 Cases: a null or blank text has no words; texts shorter than a window lose none; copies
-lose all windows but the first one's; rows that repeat a doc_id are the same document,
-what is found in one goes from all; rows without doc_id come first, as one document; an
-empty table gives an empty result.  Sequences are compared by 64-bit hashes."""
+lose all windows but the first one's; rows that repeat a doc_id are the same document if
+their texts are equal, and else documents of their own, in the order of a hash of the
+text, so a row loses only words found in its own text; rows without doc_id come first,
+likewise; an empty table gives an empty result.  Sequences are compared by 64-bit hashes."""
 
 from __future__ import annotations
 
@@ -127,9 +128,9 @@ def _prefix_counts(docs: DataFrame, window: int) -> np.ndarray:
     return out.ravel()
 
 
-def _firsts(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray):
-    """Order by keys, document, start; and where a new key begins in that order."""
-    order = np.lexsort((start, doc, *reversed(keys)))
+def _firsts(keys: list[np.ndarray], doc: np.ndarray, version: np.ndarray, start: np.ndarray):
+    """Order by keys, document, text, start; and where a new key begins in that order."""
+    order = np.lexsort((start, version, doc, *reversed(keys)))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for key in keys:
@@ -137,9 +138,10 @@ def _firsts(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray):
     return order, new
 
 
-ROWS = ["part", "prefix", "segment", "doc", "start", "count", "known"]
+ROWS = ["part", "prefix", "segment", "doc", "version", "start", "count", "known"]
 ROWS_SCHEMA = (
-    "part long, prefix long, segment long, doc long, start long, count int, known boolean"
+    "part long, prefix long, segment long, doc long, version long, start long, count int,"
+    " known boolean"
 )
 
 
@@ -151,20 +153,22 @@ def _sampled(window: int, long_prefixes, groups: int):
         found = []
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            versions = batch.column("version").to_numpy(zero_copy_only=False)
             at = 0
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 w = Windows(part.column("text"), window)
                 prefix, segment, lead, count = w.suffixes()
                 doc = ids[at : at + part.num_rows][w.doc[lead]]
-                found.append((prefix, segment, doc, w.word[lead], count.astype(np.int32)))
+                version = versions[at : at + part.num_rows][w.doc[lead]]
+                found.append((prefix, segment, doc, version, w.word[lead], count.astype(np.int32)))
                 at += part.num_rows
         if not found:
             return
-        prefix, segment, doc, start, count = map(np.concatenate, zip(*found))
+        prefix, segment, doc, version, start, count = map(np.concatenate, zip(*found))
         del found
-        order, new = _firsts([prefix, segment], doc, start)
-        prefix, segment, doc, start, count = (
-            x[order] for x in (prefix, segment, doc, start, count)
+        order, new = _firsts([prefix, segment], doc, version, start)
+        prefix, segment, doc, version, start, count = (
+            x[order] for x in (prefix, segment, doc, version, start, count)
         )
         longer = long_prefixes.value[_counters(prefix)]
         key = np.where(longer, mix(prefix + segment), mix(prefix))
@@ -177,6 +181,7 @@ def _sampled(window: int, long_prefixes, groups: int):
                     pa.array(prefix[cut].view(np.int64)),
                     pa.array(segment[cut].view(np.int64)),
                     pa.array(doc[cut]),
+                    pa.array(version[cut]),
                     pa.array(start[cut]),
                     pa.array(count[cut]),
                     pa.array(~new[cut]),
@@ -187,17 +192,18 @@ def _sampled(window: int, long_prefixes, groups: int):
     return run
 
 
-SPANS_SCHEMA = "doc long, start long, count int, again boolean"
+SPANS_SCHEMA = "doc long, version long, start long, count int, again boolean"
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _spans_table(doc, start, count, again) -> pa.Table:
+def _spans_table(doc, version, start, count, again) -> pa.Table:
     return pa.table(
         {
             "doc": pa.array(doc, pa.int64()),
+            "version": pa.array(version, pa.int64()),
             "start": pa.array(start, pa.int64()),
             "count": pa.array(count, pa.int32()),
             "again": pa.array(again, pa.bool_()),
@@ -210,12 +216,14 @@ def _subtree(long_prefixes):
 
     def run(table: pa.Table) -> pa.Table:
         known = _column(table, "known")
-        doc, start, count = (_column(table, c) for c in ("doc", "start", "count"))
+        doc, version, start, count = (
+            _column(table, c) for c in ("doc", "version", "start", "count")
+        )
         old = np.flatnonzero(known)
         own = np.flatnonzero(~known)
         prefix = _column(table, "prefix")[own].view(U)
         segment = _column(table, "segment")[own].view(U)
-        order, new = _firsts([prefix, segment], doc[own], start[own])
+        order, new = _firsts([prefix, segment], doc[own], version[own], start[own])
         own, prefix = own[order], prefix[order]
         heads = np.flatnonzero(new)
         kids = prefix[heads]
@@ -227,7 +235,7 @@ def _subtree(long_prefixes):
         again = own[heads[several]]
         rows = np.concatenate((gone, again))
         return _spans_table(
-            doc[rows], start[rows], count[rows], np.arange(len(rows)) >= len(gone)
+            doc[rows], version[rows], start[rows], count[rows], np.arange(len(rows)) >= len(gone)
         )
 
     return run
@@ -240,6 +248,7 @@ def _single(window: int, groups: int):
         found = []
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            versions = batch.column("version").to_numpy(zero_copy_only=False)
             at = 0
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 w = Windows(part.column("text"), window)
@@ -252,19 +261,20 @@ def _single(window: int, groups: int):
                 # windows of a text follow each other, from its word 0 on
                 lead = np.searchsorted(w.doc, np.arange(part.num_rows))
                 room = np.bincount(w.doc, minlength=part.num_rows)[row]
-                count = np.clip(room - start, 0, count)  # a repeated id with a shorter text
+                count = np.clip(room - start, 0, count)
                 from_ = np.cumsum(count) - count
                 index = np.repeat(lead[row] + start - from_, count) + np.arange(int(count.sum()))
                 index = np.unique(index)
                 doc = ids[at : at + part.num_rows][w.doc[index]]
-                found.append((w.hash[index], doc, w.word[index]))
+                version = versions[at : at + part.num_rows][w.doc[index]]
+                found.append((w.hash[index], doc, version, w.word[index]))
                 at += part.num_rows
         if not found:
             return
-        hashes, doc, start = map(np.concatenate, zip(*found))
+        hashes, doc, version, start = map(np.concatenate, zip(*found))
         del found
-        order, new = _firsts([hashes], doc, start)
-        hashes, doc, start = hashes[order], doc[order], start[order]
+        order, new = _firsts([hashes], doc, version, start)
+        hashes, doc, version, start = (x[order] for x in (hashes, doc, version, start))
         part = (np.where(new, hashes, mix(doc.astype(U))) % U(groups)).astype(np.int64)
         for lo in range(0, len(part), 50_000):
             cut = slice(lo, lo + 50_000)
@@ -273,10 +283,11 @@ def _single(window: int, groups: int):
                     pa.array(part[cut]),
                     pa.array(hashes[cut].view(np.int64)),
                     pa.array(doc[cut]),
+                    pa.array(version[cut]),
                     pa.array(start[cut]),
                     pa.array(~new[cut]),
                 ],
-                names=["part", "hash", "doc", "start", "known"],
+                names=["part", "hash", "doc", "version", "start", "known"],
             )
 
     return run
@@ -284,20 +295,24 @@ def _single(window: int, groups: int):
 
 def _leaves(table: pa.Table) -> pa.Table:
     known = _column(table, "known")
-    doc, start = _column(table, "doc"), _column(table, "start")
+    doc, version, start = (_column(table, c) for c in ("doc", "version", "start"))
     own = np.flatnonzero(~known)
-    order, new = _firsts([_column(table, "hash")[own].view(U)], doc[own], start[own])
+    order, new = _firsts(
+        [_column(table, "hash")[own].view(U)], doc[own], version[own], start[own]
+    )
     gone = np.concatenate((np.flatnonzero(known), own[order][~new]))
     one = np.ones(len(gone), np.int32)
-    return _spans_table(doc[gone], start[gone], one, np.zeros(len(gone), bool))
+    return _spans_table(doc[gone], version[gone], start[gone], one, np.zeros(len(gone), bool))
 
 
 def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW):
-    """Runs of windows that also start earlier: doc, start (word number of the first
+    """Runs of windows that also start earlier: doc, version (hash of the text), start (word number of the first
     window), count (of windows); the words from start to start + count + window - 2 go."""
     spark = docs.sparkSession
     source = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text).alias("text")
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(text).alias("version"),
+        F.col(text).alias("text"),
     )
     counts = _prefix_counts(source, window)
     groups = max(1, int(counts.sum()) // GROUP_ROWS + 1)
@@ -309,23 +324,23 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
     )
     again = first.filter("again")
     lists = materialize(
-        again.groupBy("doc").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+        again.groupBy("doc", "version").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
     )
     texts = source
     if lists.count() <= BROADCAST_ROWS:
-        texts = source.join(F.broadcast(lists.select("doc")), "doc", "left_semi")
+        texts = source.join(F.broadcast(lists.select("doc", "version")), ["doc", "version"], "left_semi")
     total = again.agg(F.sum("count")).first()[0] or 0
     second = materialize(
-        texts.join(lists, "doc")
-        .select("doc", "text", "runs")
+        texts.join(lists, ["doc", "version"])
+        .select("doc", "version", "text", "runs")
         .mapInArrow(
             _single(window, int(total) // GROUP_ROWS + 1),
-            "part long, hash long, doc long, start long, known boolean",
+            "part long, hash long, doc long, version long, start long, known boolean",
         )
         .groupBy("part")
         .applyInArrow(_leaves, SPANS_SCHEMA)
     )
-    return first.filter("not again").unionByName(second).select("doc", "start", "count")
+    return first.filter("not again").unionByName(second).select("doc", "version", "start", "count")
 
 
 def _cut(window: int):
@@ -382,17 +397,18 @@ def without_repeats(
     """doc_id, n_words, n_removed, kept (the kept words joined by one blank)."""
     runs = materialize(
         repeats(docs, text, doc_id, window)
-        .groupBy("doc")
+        .groupBy("doc", "version")
         .agg(F.collect_list(F.struct("start", "count")).alias("runs"))
     )
     source = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(text).alias("version"),
         F.col(text).alias("text"),
     )
     id_type = source.schema["doc_id"].dataType.simpleString()
     none = F.array().cast("array<struct<start:bigint,count:int>>")
-    whole = source.join(runs, "doc", "left").select(
+    whole = source.join(runs, ["doc", "version"], "left").select(
         "doc_id", "text", F.coalesce("runs", none).alias("runs")
     )
     return whole.mapInArrow(

@@ -333,3 +333,31 @@ def test_lines_of_hostile_repeated_and_no_rows(docs, repeated, empty):
     assert out.columns == docs.columns and out.count() == docs.count()
     assert linededup.deduplicated(repeated).count() == repeated.count()
     assert linededup.deduplicated(empty).count() == 0
+
+
+SAME_ID = [(None, "x\ny"), (None, "y\nz"), (7, "own one\nboth"), (7, "both\nown two"), (7, "both\nown two")]
+
+
+def test_rows_of_one_id_lose_only_lines_of_their_own(spark):
+    docs = spark.createDataFrame(SAME_ID, "doc_id long, text string")
+    left = [r.text.split("\n") for r in linededup.deduplicated(docs).collect()]
+    kept = [line for lines in left for line in lines]
+    assert kept.count("x") == kept.count("z") == kept.count("y") == kept.count("own one") == 1
+    assert kept.count("own two") == 2  # equal rows are one document
+    assert kept.count("both") in (1, 2)
+
+
+def test_rows_of_one_id_lose_only_words_of_their_own(spark):
+    shared = [f"p{i}" for i in range(25)]
+    own = [[f"o{k}w{i}" for i in range(60)] for k in range(4)]
+    rows = [
+        (None, own[0][:5] + shared + own[0][5:]),
+        (None, own[1] + shared),
+        (3, own[2][:9] + shared + own[2][9:]),
+        (3, own[3] + shared),
+    ]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = substrings.without_repeats(docs).collect()
+    kept = [w for r in found for w in r.kept.split(" ")]
+    assert sorted(kept) == sorted([w for k in own for w in k] + shared)
+    assert sorted(r.n_removed for r in found) == [0, 25, 25, 25]

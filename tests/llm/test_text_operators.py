@@ -361,3 +361,16 @@ def test_rows_of_one_id_lose_only_words_of_their_own(spark):
     kept = [w for r in found for w in r.kept.split(" ")]
     assert sorted(kept) == sorted([w for k in own for w in k] + shared)
     assert sorted(r.n_removed for r in found) == [0, 25, 25, 25]
+
+
+def test_edit_similarity_of_exactly_four_fifths(spark):
+    """Distances at the border, one below and one above, against plain counterparts."""
+    pairs = []
+    for length in (5, 10, 15, 20, 50, 100, 101, 104):
+        line = "".join(chr(97 + i * 7 % 26) for i in range(length))
+        for distance in {length // 5 - 1, length // 5, length // 5 + 1}:
+            pairs += [(line, "Ω" * distance + line[distance:]), (line[distance:], line)]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    for r in df.select("x", "y", linededup.similar("x", "y").alias("near")).collect():
+        longest = max(len(r.x), len(r.y))
+        assert r.near == (5 * (longest - brute.edit_distance(r.x, r.y)) >= 4 * longest), (r.x, r.y)

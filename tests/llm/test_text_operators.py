@@ -374,3 +374,56 @@ def test_edit_similarity_of_exactly_four_fifths(spark):
     for r in df.select("x", "y", linededup.similar("x", "y").alias("near")).collect():
         longest = max(len(r.x), len(r.y))
         assert r.near == (5 * (longest - brute.edit_distance(r.x, r.y)) >= 4 * longest), (r.x, r.y)
+
+
+def test_ordinary_near_copies_of_lines_go(spark):
+    """A typo, a changed digit, an added full stop or one other word, in lines of all
+    lengths; and, of short lines, every pair at 0.8."""
+    import random
+
+    rng = random.Random(11)
+    lines = []
+    for words in (2, 3, 4, 6, 8, 9, 12, 20, 30, 60):
+        for k in range(4):
+            own = ["".join(rng.choices("abcdefghij", k=rng.randint(5, 11))) + str(rng.randrange(10)) for _ in range(words)]
+            line = " ".join(own)
+            other = list(own)
+            if words > 8:
+                other[rng.randrange(words)] = "other"
+            place = rng.randrange(len(line) - 1)
+            typo = line[:place] + "x" + line[place + 1 :]
+            digit = line[:-1] + str((int(line[-1]) + 1) % 10)
+            lines.append([line, typo, digit, line + ".", " ".join(other)])
+    docs = spark.createDataFrame(
+        [(i, "\n".join(group)) for i, group in enumerate(lines)], "doc_id long, text string"
+    )
+    left = {r.doc_id: r.text for r in linededup.deduplicated(docs).collect()}
+    assert left == {i: group[0] for i, group in enumerate(lines)}
+
+
+def test_short_lines_are_compared_completely(spark):
+    import random
+
+    rng = random.Random(12)
+    texts = set()
+    for length in range(4, 25):
+        for _ in range(3):
+            line = "".join(rng.choices("ab c", k=length)).strip()
+            for _ in range(3):
+                other = list(line)
+                for _ in range(len(line) // 5):
+                    other[rng.randrange(len(other))] = rng.choice("abcd")
+                texts.add(" ".join("".join(other).split()))
+    texts = sorted(t for t in texts if t)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    found = {r.doc for r in linededup.repeated_lines(docs, anchored=True).collect()}
+    groups = brute.Groups()
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts[:i]):
+            longest = max(len(x), len(y))
+            if 5 * (longest - brute.edit_distance(x, y)) >= 4 * longest:
+                groups.join(i, j)
+    first = {}
+    for i in range(len(texts)):
+        first.setdefault(groups.find(i), i)
+    assert found == set(range(len(texts))) - set(first.values()) and found

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, jaccard, linededup, mixing, neighbours, sharding, substrings, toxicity
+from . import (
+    bpe, chat, fingerprints, jaccard, linededup, manifest, mixing, negatives, neighbours,
+    sharding, substrings, toxicity,
+)
 
 QUERIES = {
     "op1_shard_differencing": sharding.query,
@@ -15,10 +18,14 @@ QUERIES = {
     "op8_repeated_passages": substrings.query,
     "op9_merkle_fingerprints": fingerprints.query,
     "op10_fuzzy_lines": linededup.query,
+    "op11_merkle_manifest": manifest.query,
+    "op13_hard_negatives": negatives.query,
 }
 
 ORACLES = {
     "op4_mix_sources": mixing.SQL,
     "op6_chat_format": chat.SQL,
     "op9_merkle_fingerprints": fingerprints.SQL,
+    "op11_merkle_manifest": manifest.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }

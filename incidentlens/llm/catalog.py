@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import (
     bpe, chat, fingerprints, jaccard, linededup, manifest, mixing, negatives, neighbours,
-    sharding, substrings, toxicity,
+    sharding, substrings, templates, toxicity,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_merkle_fingerprints": fingerprints.query,
     "op10_fuzzy_lines": linededup.query,
     "op11_merkle_manifest": manifest.query,
+    "op12_page_templates": templates.query,
     "op13_hard_negatives": negatives.query,
 }
 

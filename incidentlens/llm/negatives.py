@@ -11,7 +11,7 @@ scores stay inside a task, which sends on its best few per anchor (ties at the b
 included before they are ordered by id, so nothing is lost).  Tables are looked up twice,
 for the positives and then for the negatives near each of them.
 
-Cases: rows with a null id, label or vector, or with a null, NaN or infinite component,
+Cases: ids and labels are whole numbers; rows with a null id, label or vector, or with a null, NaN or infinite component,
 take no part; of rows that repeat an id that with the smallest label, then vector, stays;
 vectors of different lengths are compared over the components that both have, an empty
 one scores 0; scaled components are held within +-2**27 (2**23 beyond 256 dimensions), as

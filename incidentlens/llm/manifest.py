@@ -263,12 +263,12 @@ def manifest(
 ) -> DataFrame:
     """`doc_id` (the order column), `leaf`, `proof`, `subroot` and `root` of every row, and
     the named columns of `keep` (name, expression)."""
-    told = rows.select(
+    told = materialize(rows.select(  # texts are read once, sampling for the ranges reads this
         F.col(source).cast("string").alias("tree"),
         F.col(order).alias("doc_id"),
         leaf(*[F.col(f) for f in fields]).alias("digest"),
         *[expression.alias(name) for name, expression in keep],
-    )
+    ))
     rounds = build(numbered(told, "tree", ["doc_id", "digest"]))
     tops = rounds[-1].select(F.col("tree").alias("name"), F.col("digest"))
     over = numbered(tops.withColumn("tree", F.lit("")), "tree", ["name"])

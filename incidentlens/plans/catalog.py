@@ -29,7 +29,7 @@ from ..operators.staging import parse_counts, stage, typed
 from ..session import materialize
 from ..sinks import exports, tables
 from ..sources import landing
-from ..sources.incident_views import events_raw, orders_raw, table
+from ..sources.incident_views import events_raw, lineitem_places, orders_raw, table
 
 AS_OF = date(2024, 1, 31)
 DEGREES = ["latitude", "longitude"]
@@ -360,6 +360,25 @@ def dbscan_scaled(spark, sf):
     return hotspots.cluster_profiles(materialize(labelled)).drop("crime_types", "districts")
 
 
+def dbscan_dense(spark, sf):
+    """Density clustering of mostly distinct places, a third of them in one block."""
+    labelled = dbscan.dbscan(
+        materialize(lineitem_places(spark, sf)), DEGREES, 0.0002, 5, order_by=F.col("id")
+    )
+    return labelled.select("id", F.col("cluster_id").cast("long").alias("cluster_id"))
+
+
+def kdistance_dense(spark, sf):
+    """Fifth-nearest distances over distinct places and two constant features."""
+    places = lineitem_places(spark, sf).withColumns({"level": F.lit(0.0), "floor": F.lit(1.5)})
+    vectors = materialize(dbscan.distinct_vectors(places, ["level", "floor", *DEGREES]))
+    curve = kdistance.kth_neighbour_distance(vectors, 4)
+    return (
+        curve.groupBy(F.round(F.col("kdist") * 1000, 3).alias("kdist_milli"))
+        .agg(F.sum("n").alias("points"))
+    )
+
+
 def kdistance_tuning(spark, sf):
     vectors = materialize(dbscan.distinct_vectors(e_spatial_table(spark, sf), DEGREES))
     curve = kdistance.kth_neighbour_distance(vectors, 2)
@@ -670,6 +689,8 @@ QUERIES: dict[str, Query] = {
     "dbscan_clusters": dbscan_clusters,
     "dbscan_quality": dbscan_quality,
     "dbscan_scaled": dbscan_scaled,
+    "dbscan_dense": dbscan_dense,
+    "kdistance_dense": kdistance_dense,
     "kdistance_tuning": kdistance_tuning,
     "kdistance_eps": kdistance_eps,
     "hotspot_profile": hotspot_profile,

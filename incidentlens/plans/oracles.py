@@ -199,7 +199,36 @@ acc AS (SELECT lat, lon, dist, sum(n) OVER (PARTITION BY lat, lon ORDER BY dist)
 kd AS (SELECT lat, lon, min(dist) AS kdist FROM acc WHERE got >= 5 GROUP BY ALL)
 """
 
+PLACES = """
+p AS (
+  SELECT DISTINCT (k * 100000 + pk) * 10000 + l_suppkey AS id, 41.65e0 + (b % 7) * 0.06e0 + ((k * 48271 + pk * 16807) % 2147483647) % 100003 / 1e7 AS lat,
+    -87.85e0 + (b // 7) * 0.07e0 + ((k * 69621 + pk * 40692) % 2147483399) % 100003 / 1e7 AS lon
+  FROM (SELECT l_orderkey * 8 + l_linenumber AS k, l_partkey AS pk, l_suppkey,
+    CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE 1 + l_partkey % 34 END AS b FROM lineitem)),
+near AS (
+  SELECT a.id, c.id AS id2, sqrt((a.lat - c.lat) ** 2 + (a.lon - c.lon) ** 2) AS dist
+  FROM (SELECT *, floor(lat / {r}) + unnest([-1, 0, 1]) AS bx FROM p) a
+  JOIN (SELECT *, floor(lat / {r}) AS bx FROM p) c ON a.bx = c.bx AND abs(a.lon - c.lon) <= {r})
+"""
+
 ORACLES: dict[str, str] = {
+    "dbscan_dense": "WITH RECURSIVE" + PLACES.replace("{r}", "0.00020001e0") + """,
+touch AS (SELECT id, id2 FROM near WHERE dist <= 0.0002e0),
+core AS (SELECT id FROM touch GROUP BY id HAVING count(*) >= 5),
+link AS (SELECT t.* FROM touch t SEMI JOIN core USING (id) SEMI JOIN core c ON c.id = t.id2),
+cc(id, root) USING KEY (id) AS (
+  SELECT id, id FROM core
+  UNION
+  SELECT l.id, min(r.root) FROM cc r JOIN link l ON l.id2 = r.id JOIN recurring.cc k ON k.id = l.id
+  WHERE r.root < k.root GROUP BY l.id),
+numbered AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster_id FROM (SELECT DISTINCT root FROM cc)),
+label AS (SELECT cc.id, cluster_id FROM cc JOIN numbered USING (root)),
+border AS (SELECT t.id, min(l.cluster_id) AS cluster_id FROM touch t JOIN label l ON l.id = t.id2 GROUP BY t.id)
+SELECT p.id, CAST(coalesce(l.cluster_id, b.cluster_id, -1) AS BIGINT) AS cluster_id
+FROM p LEFT JOIN label l ON l.id = p.id LEFT JOIN border b ON b.id = p.id""",
+    "kdistance_dense": "WITH" + PLACES.replace("{r}", "(SELECT 0.01e0 * sqrt(1948e0 / count(*)) FROM lineitem)") + """,
+d AS (SELECT id, list(dist ORDER BY dist)[5] AS kdist FROM near GROUP BY id)
+SELECT round(kdist * 1000, 3) AS kdist_milli, count(*) AS points FROM d GROUP BY 1""",
     "staged_incidents": with_e("""
 SELECT id, incident_date, case_number, primary_type, description, location_description,
   CAST(arrest AS VARCHAR) AS arrest, CAST(domestic AS VARCHAR) AS domestic, beat, district, ward, community_area,

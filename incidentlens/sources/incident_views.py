@@ -79,3 +79,18 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("loaded_at"),
         F.lit("orders").alias("source"),
     )
+
+
+def lineitem_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place per line item (order, line, part, supplier), mostly distinct ones: a third lie in one crowded block,
+    the others in 34 blocks around it.  Blocks are squares of 0.01 degrees."""
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    part = F.col("l_partkey")
+    block = F.when(part % 3 == 0, 0).otherwise(1 + part % 34)
+    within = lambda a, b, m: ((key * a + part * b) % m) % 100003 / F.lit(1e7)
+    named = (key * 100_000 + part) * 10_000 + F.col("l_suppkey")
+    return table(spark, sf_dir, "lineitem").select(
+        named.cast("long").alias("id"),
+        (F.lit(41.65) + (block % 7) * F.lit(0.06) + within(48271, 16807, 2147483647)).alias("latitude"),
+        (F.lit(-87.85) + F.floor(block / 7) * F.lit(0.07) + within(69621, 40692, 2147483399)).alias("longitude"),
+    ).distinct()

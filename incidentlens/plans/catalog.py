@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import (
+    cluster_metrics,
     clustering,
     dbscan,
     features,
@@ -348,7 +349,27 @@ def dbscan_clusters(spark, sf):
 
 def dbscan_quality(spark, sf):
     labelled = dbscan.dbscan(e_spatial_table(spark, sf), DEGREES, 0.02, 5, order_by=F.col("id").cast("long"))
-    return dbscan.quality(labelled)
+    labelled = materialize(labelled)
+    measured = cluster_metrics.cluster_metrics(labelled, DEGREES).select(
+        F.struct(
+            F.round("inertia", 6).alias("inertia"),
+            F.round("calinski_harabasz", 1).alias("calinski_harabasz"),
+            F.round("silhouette_squared_euclidean", 6).alias("silhouette_squared_euclidean"),
+        ).alias("m")
+    )
+    return dbscan.quality(labelled).withColumn("m", measured.scalar()).select("*", "m.*").drop("m")
+
+
+def blob_metrics(spark, sf):
+    """Metrics of a given partition: the blob every place was made in."""
+    return cluster_metrics.cluster_metrics(materialize(e_blobs(spark, sf)), DEGREES).withColumns(
+        r6("inertia", "silhouette_squared_euclidean")
+        | {"calinski_harabasz": F.round("calinski_harabasz", 1)}
+    )
+
+
+def strip_sweep(spark, sf):
+    return clustering.strip_sweep(e_spatial_table(spark, sf)).withColumns(r6("inertia"))
 
 
 def dbscan_scaled(spark, sf):
@@ -688,6 +709,8 @@ QUERIES: dict[str, Query] = {
     "kmeans_sweep": kmeans_sweep,
     "dbscan_clusters": dbscan_clusters,
     "dbscan_quality": dbscan_quality,
+    "blob_metrics": blob_metrics,
+    "strip_sweep": strip_sweep,
     "dbscan_scaled": dbscan_scaled,
     "dbscan_dense": dbscan_dense,
     "kdistance_dense": kdistance_dense,

@@ -199,6 +199,25 @@ acc AS (SELECT lat, lon, dist, sum(n) OVER (PARTITION BY lat, lon ORDER BY dist)
 kd AS (SELECT lat, lon, min(dist) AS kdist FROM acc WHERE got >= 5 GROUP BY ALL)
 """
 
+METRICS = """lab AS ({rows}),
+st AS (
+  SELECT cluster_id, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) + var_pop(y) AS v FROM lab GROUP BY 1),
+mid AS (SELECT sum(n * mx) / sum(n) AS cx, sum(n * my) / sum(n) AS cy FROM st),
+measured AS (
+  SELECT count(*) AS k, CAST(sum(n) AS BIGINT) AS points, sum(n * v) AS inertia,
+    (sum(n * ((mx - cx) ** 2 + (my - cy) ** 2)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))) AS ch
+  FROM st, mid),
+far AS (
+  SELECT x, y, l.cluster_id AS own, s.cluster_id AS id, n, (x - mx) ** 2 + (y - my) ** 2 + v AS d,
+  FROM (SELECT x, y, cluster_id, count(*) AS times FROM lab GROUP BY ALL) l, st s),
+ab AS (
+  SELECT x, y, own, max(d * n / (n - 1)) FILTER (WHERE id = own AND n > 1) AS a, min(d) FILTER (WHERE id <> own) AS b
+  FROM far GROUP BY ALL),
+sil AS (
+  SELECT sum(times * CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) / sum(times) AS s
+  FROM ab JOIN (SELECT x, y, cluster_id, count(*) AS times FROM lab GROUP BY ALL) t ON t.x = ab.x AND t.y = ab.y AND t.cluster_id = own)
+"""
+
 PLACES = """
 p AS (
   SELECT DISTINCT (k * 100000 + pk) * 10000 + l_suppkey AS id, 41.65e0 + (b % 7) * 0.06e0 + ((k * 48271 + pk * 16807) % 2147483647) % 100003 / 1e7 AS lat,
@@ -455,8 +474,26 @@ SELECT id, CAST(arg_min(cluster_id, ((latitude - lat) * (latitude - lat) + (long
 FROM located, c GROUP BY id"""),
     "dbscan_clusters": with_e(" SELECT id, cluster_id FROM labelled", DBSCAN).replace("WITH", "WITH RECURSIVE", 1),
     "dbscan_quality": with_e(f"""
+, {METRICS.replace("{rows}", "SELECT l.cluster_id, latitude AS x, longitude AS y FROM labelled l JOIN located USING (id) WHERE l.cluster_id >= 0")}
 SELECT count(DISTINCT cluster_id) FILTER (WHERE cluster_id >= 0) AS n_clusters, {count_if('cluster_id = -1')} AS n_noise_points,
-  {count_if('cluster_id = -1')} / count(*) AS noise_ratio FROM labelled""", DBSCAN).replace("WITH", "WITH RECURSIVE", 1),
+  {count_if('cluster_id = -1')} / count(*) AS noise_ratio, (SELECT round(inertia, 6) FROM measured) AS inertia,
+  (SELECT round(ch, 1) FROM measured) AS calinski_harabasz, (SELECT round(s, 6) FROM sil) AS silhouette_squared_euclidean
+FROM labelled""", DBSCAN).replace("WITH", "WITH RECURSIVE", 1),
+    "blob_metrics": with_e(f"""
+, {METRICS.replace("{rows}", "SELECT (CAST(beat AS BIGINT) % 7) * 5 + CAST(beat AS BIGINT) % 5 AS cluster_id, latitude AS x, longitude AS y FROM located")}
+SELECT k AS n_clusters, points AS n_points, round(inertia, 6) AS inertia, round(ch, 1) AS calinski_harabasz,
+  (SELECT round(s, 6) FROM sil) AS silhouette_squared_euclidean FROM measured"""),
+    "strip_sweep": with_e("""
+, ends AS (SELECT min(latitude) AS lo, max(latitude) AS hi FROM located),
+strips AS (
+  SELECT k, least(floor((latitude - lo) / (hi - lo) * k), k - 1) AS strip, count(*) AS n, var_pop(latitude) + var_pop(longitude) AS v
+  FROM located, ends, range(2, 16) t(k) GROUP BY ALL),
+inertias AS (SELECT k, sum(n * v) AS inertia FROM strips GROUP BY k),
+bends AS (
+  SELECT k, inertia, lead(inertia, 2) OVER w - 2 * lead(inertia, 1) OVER w + inertia AS bend, lead(k, 2) OVER w AS elbow
+  FROM inertias WINDOW w AS (ORDER BY k))
+SELECT CAST(k AS INTEGER) AS k, round(inertia, 6) AS inertia,
+  CAST((SELECT elbow FROM bends WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1) AS INTEGER) AS elbow_k FROM bends"""),
     "kdistance_tuning": with_e("""
 SELECT round(kdist, 6) AS kdist, CAST(sum(n) AS BIGINT) AS points FROM kd JOIN v ON kd.lat = v.latitude AND kd.lon = v.longitude GROUP BY 1""", KDIST),
     "kdistance_eps": with_e("""

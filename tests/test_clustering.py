@@ -176,3 +176,49 @@ def test_hotspot_summary_and_bands(spark):
     k = hotspots.hotspot_kpis(df).first()
     assert (k.critical_zones, k.high_zones, k.highest_risk, k.highest_risk_model) == (1, 3, 80.0, "K-means")
     assert sum(r.hotspots for r in hotspots.risk_histogram(df).collect()) == 6
+
+
+@pytest.mark.parametrize("clusters", [None, 2])
+def test_cluster_metrics_equal_all_pairs(spark, monkeypatch, clusters):
+    from incidentlens.operators import cluster_metrics
+
+    if clusters:
+        monkeypatch.setattr(cluster_metrics, "CLUSTERS", clusters)  # several passes over the rows
+    rng = np.random.default_rng(1)
+    x = np.vstack([rng.normal(c, 0.4, (n, 3)) for c, n in ((0, 30), (2, 20), (5, 1), (-3, 12))] + [np.full((5, 3), 9.0)])
+    label = np.repeat([3, 7, 20, 0, 11], [30, 20, 1, 12, 5])
+    noise = [(999, 1e6, 1e6, 1e6, -1), (998, 5.0, 5.0, 5.0, None)]
+    rows = [(i, *map(float, p), int(c)) for i, (p, c) in enumerate(zip(x, label))] + noise
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, cluster_id int")
+    got = cluster_metrics.cluster_metrics(df, ["a", "b", "c"]).first()
+    far = ((x[:, None] - x[None]) ** 2).sum(-1)
+    score = []
+    for i, c in enumerate(label):
+        own = (label == c).sum()
+        if own == 1:
+            score.append(0.0)
+            continue
+        a = far[i][label == c].sum() / (own - 1)
+        b = min(far[i][label == o].mean() for o in set(label) - {c})
+        score.append((b - a) / max(a, b))
+    inertia = sum(((x[label == c] - x[label == c].mean(0)) ** 2).sum() for c in set(label))
+    between = ((x - x.mean(0)) ** 2).sum() - inertia
+    assert (got.n_clusters, got.n_points) == (5, len(x))
+    assert np.isclose(got.inertia, inertia) and np.isclose(got.silhouette_squared_euclidean, np.mean(score))
+    assert np.isclose(got.calinski_harabasz, (between / 4) / (inertia / (len(x) - 5)))
+    one = cluster_metrics.cluster_metrics(df.filter("cluster_id = 3"), ["a", "b", "c"]).first()
+    assert one.silhouette_squared_euclidean is None and one.calinski_harabasz is None
+    none = cluster_metrics.cluster_metrics(df.filter("cluster_id = -1"), ["a", "b", "c"]).first()
+    assert (none.n_clusters, none.n_points, none.inertia) == (0, 0, None)
+
+
+def test_kmeans_separates_far_clumps_of_any_weight(spark):
+    rng = np.random.default_rng(2)
+    points = np.vstack([rng.normal(c, 0.1, (n, 2)) for c, n in (([0, 0], 300), ([9, 9], 5), ([0, 9], 40), ([9, 0], 2))])
+    labelled, metrics = clustering.kmeans_labels(frame(spark, points, ["a", "b"]), ["a", "b"], k=4)
+    labels = labels_of(labelled)
+    ends = np.cumsum([0, 300, 5, 40, 2])
+    assert len(set(labels)) == 4 and all(len(set(labels[a:b])) == 1 for a, b in zip(ends, ends[1:]))
+    assert 0.9 < metrics["silhouette_squared_euclidean"] <= 1
+    again, _ = clustering.kmeans_labels(frame(spark, points, ["a", "b"]).repartition(5), ["a", "b"], k=4)
+    assert (labels_of(again) == labels).all()

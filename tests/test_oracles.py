@@ -71,6 +71,6 @@ def test_all_oracles_are_registered():
     assert set(ENTRY.oracle_sql()) <= set(ENTRY.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(ENTRY.queries()) - set(ENTRY.oracle_sql()) - {"kmeans_sweep"}))
+@pytest.mark.parametrize("name", sorted(set(ENTRY.queries()) - set(ENTRY.oracle_sql())))
 def test_queries_without_sql_run(spark, name):
     assert ENTRY.queries()[name](spark, SF).count() > 0

@@ -16,8 +16,25 @@ from ..functions import scalars as S
 from ..session import materialize
 
 
-def _count_true(flag: str) -> Column:
-    return F.count_if(F.col(flag) == "true")
+def _rows(df: DataFrame) -> Column:
+    """Number of incidents: of detail rows, or of daily partials (which carry `n`)."""
+    return F.sum("n") if "n" in df.columns else F.count("*")
+
+
+def _count_true(df: DataFrame, flag: str) -> Column:
+    return F.sum(f"{flag}_n") if "n" in df.columns else F.count_if(F.col(flag) == "true")
+
+
+def daily_partials(staged: DataFrame) -> DataFrame:
+    """Mergeable aggregates of a day: counts by type, place, district and ward.
+
+    All marts can be built from these rows as from the detail rows, and the rows of one
+    day depend on that day's records alone."""
+    return staged.groupBy(*PARTIAL_KEYS).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("arrest") == "true").alias("arrest_n"),
+        F.count_if(F.col("domestic") == "true").alias("domestic_n"),
+    )
 
 
 def _mode(value: str, count: str) -> Column:
@@ -34,9 +51,9 @@ def crime_type_analysis(staged: DataFrame) -> DataFrame:
         staged.filter(F.col("primary_type").isNotNull())
         .groupBy("primary_type")
         .agg(
-            F.count("*").alias("total_incidents"),
-            _count_true("arrest").alias("arrests_made"),
-            _count_true("domestic").alias("domestic_incidents"),
+            _rows(staged).alias("total_incidents"),
+            _count_true(staged, "arrest").alias("arrests_made"),
+            _count_true(staged, "domestic").alias("domestic_incidents"),
             F.min("incident_date").alias("earliest_incident"),
             F.max("incident_date").alias("latest_incident"),
         )
@@ -61,9 +78,9 @@ def daily_patterns(staged: DataFrame) -> DataFrame:
     three distinct counts and a mode into plain aggregates of one pipeline."""
     measures = ("n", "arrests", "domestics")
     cube = staged.groupBy("incident_date", "primary_type", "district", "ward").agg(
-        F.count("*").alias("n"),
-        _count_true("arrest").alias("arrests"),
-        _count_true("domestic").alias("domestics"),
+        _rows(staged).alias("n"),
+        _count_true(staged, "arrest").alias("arrests"),
+        _count_true(staged, "domestic").alias("domestics"),
     )
     views = [
         F.struct(F.lit(name).alias("of"), F.col(name).alias("value"))
@@ -99,7 +116,7 @@ def location_analysis(staged: DataFrame, min_incidents: int = 2) -> DataFrame:
     return (
         staged.filter(F.col("location_description").isNotNull())
         .groupBy(*place, "primary_type")
-        .agg(F.count("*").alias("n"), _count_true("arrest").alias("arrests"))
+        .agg(_rows(staged).alias("n"), _count_true(staged, "arrest").alias("arrests"))
         .groupBy(*place)
         .agg(
             F.sum("n").alias("total_incidents"),
@@ -124,7 +141,7 @@ def monthly_trends(staged: DataFrame) -> DataFrame:
     n, before = F.col("total_incidents"), F.col("same_month_prev_year")
     return (
         staged.groupBy(F.trunc("incident_date", "month").alias("month"), "primary_type")
-        .agg(F.count("*").alias("n"), _count_true("arrest").alias("arrests"))
+        .agg(_rows(staged).alias("n"), _count_true(staged, "arrest").alias("arrests"))
         .groupBy("month")
         .agg(
             F.sum("n").alias("total_incidents"),
@@ -153,7 +170,7 @@ def yoy_by_type(staged: DataFrame) -> DataFrame:
     return (
         staged.filter(c("primary_type").isNotNull())
         .groupBy(F.year("incident_date").cast("long").alias("year"), "primary_type")
-        .agg(F.count("*").alias("incidents"), _count_true("arrest").alias("arrests"))
+        .agg(_rows(staged).alias("incidents"), _count_true(staged, "arrest").alias("arrests"))
         .withColumn("arrest_rate", S.rate_percent(c("arrests"), c("incidents")))
         .withColumns(
             {
@@ -191,7 +208,7 @@ def seasonal_yoy(staged: DataFrame) -> DataFrame:
             S.season_of(F.month("incident_date")).alias("season"),
             "primary_type",
         )
-        .agg(F.count("*").alias("n"), _count_true("arrest").alias("arrests"))
+        .agg(_rows(staged).alias("n"), _count_true(staged, "arrest").alias("arrests"))
         .groupBy("year", "season")
         .agg(
             F.sum("n").alias("total_incidents"),
@@ -221,7 +238,7 @@ def trend_classification(staged: DataFrame) -> DataFrame:
     per_year = materialize(
         staged.groupBy(
             "primary_type", F.year("incident_date").cast("long").alias("year")
-        ).agg(F.count("*").alias("n"))
+        ).agg(_rows(staged).alias("n"))
     )
     recent = per_year.select("year").distinct().orderBy(F.desc("year")).limit(3)
     latest = recent.agg(F.max("year")).scalar()
@@ -271,6 +288,8 @@ def top_movers(staged: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+PARTIAL_KEYS = ("incident_date", "primary_type", "location_description", "district", "ward")
+
 MART_COLUMNS = (
     "incident_date",
     "primary_type",

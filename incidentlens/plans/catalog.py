@@ -6,6 +6,7 @@ are rounded to six places here, at the edge, so that they can be compared."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -27,10 +28,11 @@ from ..operators import (
     series,
 )
 from ..operators.staging import parse_counts, stage, typed
-from ..session import materialize
+from ..session import materialize, scratch_dir
 from ..sinks import exports, tables
 from ..sources import landing
 from ..sources.incident_views import events_raw, lineitem_places, orders_raw, table
+from . import pipelines
 
 AS_OF = date(2024, 1, 31)
 DEGREES = ["latitude", "longitude"]
@@ -121,6 +123,69 @@ def raw_envelope_append(spark, sf):
     )
 
 
+def _own_schema(spark) -> str:
+    """A database for the tables of one run, in the shared scratch folder."""
+    name = f"run_{uuid.uuid4().hex[:12]}"
+    tables.create_schema(spark, name, f"{scratch_dir(spark).rstrip('/')}/{name}.db")
+    return name
+
+
+def repeated_load(spark, sf):
+    """Ten days loaded twice, then five of them and five more with corrected values."""
+    records = table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), F.col("ts").alias("date"), "event_type", "value"
+    )
+    raw = f"{_own_schema(spark)}.raw"
+    early = records.filter(F.to_date("date") < F.lit(date(2024, 1, 11)))
+    late = records.filter(F.to_date("date").between(date(2024, 1, 6), date(2024, 1, 15)))
+    corrected = F.when(F.col("id") % 3 == 0, F.col("value") + 1000).otherwise(F.col("value"))
+    for _ in range(2):
+        tables.load_batch(early, "early", raw, dedupe=True)
+    tables.load_batch(late.withColumn("value", corrected), "late", raw, dedupe=True)
+    value = F.get_json_object("record_data", "$.value").cast("double")
+    return (
+        spark.table(raw)
+        .groupBy("day", "source")
+        .agg(F.count("*").alias("records"), F.count_distinct("id").alias("ids"), F.round(F.sum(value), 4).alias("total"))
+    )
+
+
+def keyed_append(spark, sf):
+    """Keyed rows stored, a clashing append refused, and the same one with skipping."""
+    clusters = f"{_own_schema(spark)}.clusters"
+    number = F.col("id").cast("long")
+    rows = e_spatial_table(spark, sf).select("id", "date", "primary_type", "latitude", "longitude")
+    first = rows.filter(number % 2 == 0).withColumn("cluster_id", F.lit(0))
+    second = rows.filter(number % 3 == 0).withColumn("cluster_id", F.lit(1))
+    tables.save_clusters(first, clusters, "DBSCAN")
+    try:
+        tables.save_clusters(second, clusters, "DBSCAN")
+        refused = False
+    except tables.DuplicateKeyError:
+        refused = True
+    tables.save_clusters(second.unionByName(second), clusters, "DBSCAN", on_duplicate="skip")
+    tables.save_clusters(second, clusters, "K-means")
+    return (
+        spark.table(clusters)
+        .groupBy("model_type", F.col("cluster_id").cast("long").alias("cluster_id"))
+        .agg(F.count("*").alias("stored"), F.count_distinct("id").alias("ids"))
+        .withColumn("refused", F.lit(refused))
+    )
+
+
+def incremental_patterns(spark, sf):
+    """The daily mart after three loads of ten days, each refreshing its own days."""
+    schema = _own_schema(spark)
+    raw, rows = f"{schema}.raw", events_raw(spark, sf)
+    tables.create_raw_table(spark, raw)
+    cuts = [date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21), date(2025, 1, 1)]
+    for start, stop in zip(cuts, cuts[1:]):
+        part = rows.filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(stop)))
+        tables.by_day(part).write.mode("append").partitionBy(tables.DAY).saveAsTable(raw)
+        pipelines.refresh_marts(raw, schema, F.col(tables.DAY).between(start, stop))
+    return spark.table(f"{schema}.daily_crime_patterns")
+
+
 def analytics_summary(spark, sf):
     staged = materialize(e_staged(spark, sf).select(*marts.MART_COLUMNS))
     return marts.analytics_summary(events_raw(spark, sf), staged)
@@ -707,6 +772,9 @@ QUERIES: dict[str, Query] = {
     "nearest_center": nearest_center,
     "kmeans_assign": kmeans_assign,
     "kmeans_sweep": kmeans_sweep,
+    "repeated_load": repeated_load,
+    "keyed_append": keyed_append,
+    "incremental_patterns": incremental_patterns,
     "dbscan_clusters": dbscan_clusters,
     "dbscan_quality": dbscan_quality,
     "blob_metrics": blob_metrics,

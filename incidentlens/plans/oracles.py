@@ -231,6 +231,18 @@ near AS (
 """
 
 ORACLES: dict[str, str] = {
+    "repeated_load": """
+SELECT CAST(ts AS DATE) AS day,
+  CASE WHEN ts >= TIMESTAMP '2024-01-06' THEN 'batch_api_late' ELSE 'batch_api_early' END AS source,
+  count(*) AS records, count(DISTINCT event_id) AS ids,
+  round(sum(value + CASE WHEN ts >= TIMESTAMP '2024-01-06' AND event_id % 3 = 0 THEN 1000 ELSE 0 END), 4) AS total
+FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ALL""",
+    "keyed_append": with_e("""
+, n AS (SELECT CAST(id AS BIGINT) AS k FROM located),
+s AS (
+  SELECT 'DBSCAN' AS model_type, CASE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS cluster_id, k FROM n WHERE k % 2 = 0 OR k % 3 = 0
+  UNION ALL SELECT 'K-means', 1, k FROM n WHERE k % 3 = 0)
+SELECT model_type, CAST(cluster_id AS BIGINT) AS cluster_id, count(*) AS stored, count(DISTINCT k) AS ids, true AS refused FROM s GROUP BY ALL"""),
     "dbscan_dense": "WITH RECURSIVE" + PLACES.replace("{r}", "0.00020001e0") + """,
 touch AS (SELECT id, id2 FROM near WHERE dist <= 0.0002e0),
 core AS (SELECT id FROM touch GROUP BY id HAVING count(*) >= 5),
@@ -623,3 +635,4 @@ ORACLES["high_risk_hotspots"] = with_e("""
 SELECT cluster_id, printf('(%.4f, %.4f)', center_lat, center_lon) AS location, size, risk_score, top_crime_type,
   printf('%.1f%%', violent_crime_ratio * 100) AS violent_ratio FROM profile WHERE risk_score > 70
 ORDER BY risk_score DESC, cluster_id LIMIT 8""", GRID, BLOBS)
+ORACLES["incremental_patterns"] = ORACLES["daily_patterns"]

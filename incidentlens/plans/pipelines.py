@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import VIOLENT
@@ -13,8 +14,9 @@ from ..operators.dbscan import dbscan, quality
 from ..operators.features import all_features, features_for_storage
 from ..operators.filters import enough_rows, spatial_scan
 from ..operators.kdistance import tune_dbscan
-from ..operators.marts import MART_COLUMNS, MARTS
+from ..operators.marts import MART_COLUMNS, MARTS, daily_partials
 from ..operators.staging import stage, typed
+from ..schema import RAW_PARTITION
 from ..session import materialize
 from ..sinks import tables
 from ..sources import landing
@@ -22,42 +24,60 @@ from ..sources import landing
 MIN_CLUSTER_ROWS = 100
 
 
+PARTIALS = "daily_partials"
+
+
 def build_marts(raw: DataFrame, schema: str) -> DataFrame:
-    """Stage, rebuild every mart as a table, and return the row counts.
+    """Stage, rebuild every mart from the whole history, and return the row counts."""
+    return _refresh(raw, stage(raw), schema, whole=True)
+
+
+def refresh_marts(raw_table: str, schema: str, days: Column) -> DataFrame:
+    """Bring the marts up to date after records of some days have come.
+
+    Only these days (a condition on the raw table's partition column) are read; they
+    replace their part of the daily partials, from which the marts are rebuilt."""
+    raw = SparkSession.active().table(raw_table)
+    return _refresh(raw, stage(raw.filter(days)), schema, whole=False)
+
 
-    The few staged columns the marts use are written once, so the JSON is parsed
-    once for all seven."""
+def _refresh(raw: DataFrame, staged: DataFrame, schema: str, whole: bool) -> DataFrame:
     spark = raw.sparkSession
     tables.create_schema(spark, schema)
-    staged = materialize(stage(raw).select(*MART_COLUMNS))
-    for name, build in MARTS.items():
-        tables.replace_table(build(staged), f"{schema}.{name}")
+    name = f"{schema}.{PARTIALS}"
+    fresh = daily_partials(staged.select(*MART_COLUMNS))
+    if whole or not spark.catalog.tableExists(name):
+        fresh.hint("rebalance", "incident_date").write.mode("overwrite").partitionBy("incident_date").saveAsTable(name)
+    else:
+        tables.overwrite_days(fresh, name, "incident_date")
+    partials = spark.table(name)
+    for mart, build in MARTS.items():
+        tables.replace_table(build(partials), f"{schema}.{mart}")
+    rows = F.count("*")
     counted = {
-        "Raw Data": raw,
-        "Staging Data": staged,
-        "Crime Types": spark.table(f"{schema}.crime_type_analysis"),
-        "Daily Patterns": spark.table(f"{schema}.daily_crime_patterns"),
-        "Location Analysis": spark.table(f"{schema}.location_analysis"),
+        "Raw Data": (raw, rows),
+        "Staging Data": (partials, F.coalesce(F.sum("n"), F.lit(0))),
+        "Crime Types": (spark.table(f"{schema}.crime_type_analysis"), rows),
+        "Daily Patterns": (spark.table(f"{schema}.daily_crime_patterns"), rows),
+        "Location Analysis": (spark.table(f"{schema}.location_analysis"), rows),
     }
     parts = [
-        df.agg(F.count("*").alias("record_count")).select(
-            F.lit(name).alias("table_name"), "record_count"
-        )
-        for name, df in counted.items()
+        df.agg(count.alias("record_count")).select(F.lit(label).alias("table_name"), "record_count")
+        for label, (df, count) in counted.items()
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # five rows; later loads replace the tables that they were counted in
+    return materialize(reduce(DataFrame.unionByName, parts))
 
 
 def daily_load(landed: DataFrame, day: date, raw_table: str, schema: str, today: date | None = None, dedupe: bool = False) -> DataFrame:
-    """One day's increment: extract, append to the raw table, refresh marts.
+    """One day's increment: extract, load into the raw table, refresh marts from the
+    days that were loaded.
 
     `landed` holds flat records with a `date` column."""
-    rows = landing.daily_extract(landed, day, today)
+    rows = materialize(landing.daily_extract(landed, day, today))
     tables.load_daily(rows, raw_table, dedupe)
-    return build_marts(landed.sparkSession.table(raw_table), schema)
+    loaded = tables.days_of(rows.select(F.to_date("date").alias(RAW_PARTITION)))
+    return refresh_marts(raw_table, schema, loaded)
 
 
 def build_features(raw: DataFrame, table: str) -> DataFrame:

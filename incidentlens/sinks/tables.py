@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.features import quantize
 from ..schema import CLUSTER_KEY, CLUSTER_TYPES, FORECAST_KEY, FORECAST_TYPES, HOTSPOT_KEY, HOTSPOT_TYPES, RAW, RAW_PARTITION
-
+from ..session import materialize
 
 DAY = RAW_PARTITION
 
@@ -40,13 +42,13 @@ def create_raw_table(spark: SparkSession, name: str) -> None:
 
 
 def load_daily(records: DataFrame, table: str, dedupe: bool = False) -> None:
-    """Append one day's records.  Loading a day twice doubles it unless
-    `dedupe` leaves out ids the table already has."""
-    _append_raw(envelope(records, "crime_api"), table, dedupe)
+    """Append one day's records.  Loading a day twice doubles it unless `dedupe` merges
+    the records into the days they belong to (an id names a record of its day)."""
+    _load_raw(envelope(records, "crime_api"), table, dedupe)
 
 
 def load_batch(records: DataFrame, batch_id: str, table: str, dedupe: bool = False) -> None:
-    _append_raw(envelope(records, f"batch_api_{batch_id}"), table, dedupe)
+    _load_raw(envelope(records, f"batch_api_{batch_id}"), table, dedupe)
 
 
 def by_day(rows: DataFrame) -> DataFrame:
@@ -55,50 +57,130 @@ def by_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn(DAY, F.to_date("date")).hint("rebalance", DAY)
 
 
-def _append_raw(rows: DataFrame, table: str, dedupe: bool) -> None:
+def days_of(rows: DataFrame, day: str = DAY) -> Column:
+    """A filter for the days that occur in `rows`; they are bounded by the calendar."""
+    found = [r[0] for r in rows.select(day).distinct().collect()]
+    known = [d for d in found if d is not None]
+    wanted = F.col(day).isin(known) if known else F.lit(False)
+    return wanted | F.col(day).isNull() if None in found else wanted
+
+
+def overwrite_days(rows: DataFrame, table: str, day: str = DAY) -> None:
+    """Replace the partitions of the days that occur in `rows`, and no others."""
+    spark, mode = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    names = [c for c in spark.table(table).columns if c != day]
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # inserts into tables take no option for it
+    try:
+        rows.select(*names, day).hint("rebalance", day).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def _load_raw(rows: DataFrame, table: str, dedupe: bool) -> None:
     spark = rows.sparkSession
     create_raw_table(spark, table)
-    if dedupe:
-        # records without an id cannot be told apart and are all kept
-        has_id = F.col("id") != ""
-        known = spark.table(table).select("id")
-        new = rows.filter(has_id).dropDuplicates(["id"]).join(known, "id", "left_anti")
-        rows = new.select(*RAW.fieldNames()).unionByName(rows.filter(~has_id))
-    by_day(rows).write.mode("append").partitionBy(DAY).saveAsTable(table)
+    if not dedupe:
+        by_day(rows).write.mode("append").partitionBy(DAY).saveAsTable(table)
+        return
+    # written once: the merge reads it, and loaded_at must not change between runs of it
+    batch = materialize(rows.withColumn(DAY, F.to_date("date")))
+    stored = spark.table(table).filter(days_of(batch)).select(*batch.columns)
+    overwrite_days(materialize(merged(stored, batch)), table)
+
+
+def merged(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored rows and a batch as if each record had been loaded once.
+
+    Per day and id the row loaded last stays, of those loaded together the one with the
+    larger payload.  Records without an id are told apart by their payload: as many equal
+    ones stay as the table or the batch has."""
+    both = stored.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    columns = [c for c in batch.columns if c not in ("id", DAY)]
+    last = F.max(F.struct("loaded_at", "record_data", *[c for c in columns if c not in ("loaded_at", "record_data")]))
+    named = (
+        both.filter(F.col("id") != "").groupBy(DAY, "id").agg(last.alias("x")).select("id", DAY, "x.*")
+    )
+    others = both.filter(F.coalesce("id", F.lit("")) == "")
+    times = F.greatest(*[F.count_if(F.col("_new") == k) for k in (0, 1)])
+    equal = others.groupBy(DAY, "id", "date", "record_data").agg(
+        times.alias("_times"), F.max_by("source", "loaded_at").alias("source"), F.max("loaded_at").alias("loaded_at")
+    )
+    equal = equal.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+    return named.select(*batch.columns).unionByName(equal.select(*batch.columns))
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
 def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+# bits of a key filter, per key and at most (8 MB); a larger batch is joined without one
+BITS_PER_KEY, MOST_BITS, HASHES = 12, 1 << 26, 3
+
+
+def _positions(key, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(bits)) for seed in range(HASHES)]
+
+
+def key_filter(keys: DataFrame, key) -> Column | None:
+    """A Bloom filter of the keys: a condition that holds for all of them and for few
+    others.  Its bits are or-ed by an aggregate into 64-bit words, at most 8 MB."""
+    bits = 1 << max(6, (keys.count() * BITS_PER_KEY - 1).bit_length())
+    if bits > MOST_BITS:
+        return None
+    words = keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("set"))
+    # a position's bit, as shifts take an int
+    bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
+    set_bits = keys.select(F.explode(F.array(*_positions(key, bits))).alias("at")).select(
+        F.floor(F.col("at") / 64).cast("long").alias("word"), bit.alias("set")
+    )
+    told = set_bits.unionByName(words).groupBy("word").agg(F.bit_or("set").alias("set"))
+    held = told.agg(F.sort_array(F.collect_list(F.struct("word", "set"))).alias("w")).select(F.col("w.set")).scalar()
+    tests = [
+        F.getbit(F.get(held, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
+        for at in _positions(key, bits)
+    ]
+    return reduce(lambda a, b: a & b, tests)
+
+
 def append_keyed(df: DataFrame, table: str, types: dict[str, str], key, on_duplicate: str = "error") -> None:
     """Append rows under a composite key, rounded to their storage types.
 
     `on_duplicate`: "error" refuses the whole append, "skip" leaves out rows
-    whose key exists.  Of the existing rows only the key columns are read."""
+    whose key exists.  The batch is written once.  Of the existing rows only the key
+    columns of the batch's model types are read, and of these only what passes a Bloom
+    filter of the batch's keys reaches the join."""
+    if on_duplicate not in ("error", "skip"):
+        raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     spark = df.sparkSession
-    rows = quantize(df.select(*types), types)
+    key = list(key)
+    rows = materialize(quantize(df.select(*types), types))
+    keys = rows.select(*key)
     if spark.catalog.tableExists(table):
-        present = spark.table(table).select(*key)
+        models = [r[0] for r in rows.select("model_type").distinct().collect()]
+        present = spark.table(table).filter(F.col("model_type").isin(models)).select(*key)
+        likely = key_filter(keys, key)
+        present = present if likely is None else present.filter(likely)
     else:
-        present = rows.select(*key).limit(0)
+        present = keys.limit(0)
     if on_duplicate == "error":
         # repeated keys in the batch, or keys of the batch already stored
-        counts = rows.groupBy(*key).agg(F.count("*").alias("n"))
+        counts = keys.groupBy(*key).agg(F.count("*").alias("n"))
         repeated = counts.filter("n > 1").select(*key)
-        stored = counts.select(*key).join(present, list(key), "left_semi")
+        stored = present.join(counts.select(*key), key, "left_semi")
         clash = repeated.unionByName(stored).limit(1).collect()
         if clash:
             raise DuplicateKeyError(f"{table}: key {clash[0].asDict()} occurs more than once")
-    elif on_duplicate == "skip":
-        rows = rows.dropDuplicates(list(key)).join(present, list(key), "left_anti")
-        rows = rows.select(*types)
     else:
-        raise ValueError(f"unknown on_duplicate: {on_duplicate}")
+        # of rows that repeat a key in the batch the smallest stays, whatever the partitioning
+        rest = [c for c in types if c not in key]
+        first = rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("x")).select(*key, "x.*")
+        rows = first.join(present, key, "left_anti").select(*types)
     rows.write.mode("append").partitionBy("model_type").saveAsTable(table)
 
 

@@ -3,9 +3,10 @@ from datetime import date, datetime, timedelta
 import pytest
 from helpers import raw
 from incidentlens.operators import features, reports
-from incidentlens.operators.staging import typed
+from incidentlens.operators.staging import stage, typed
 from incidentlens.plans import pipelines
 from incidentlens.schema import CLUSTER_KEY, CLUSTER_TYPES
+from incidentlens.session import materialize
 from incidentlens.sinks import exports, tables
 from incidentlens.sources import landing
 from incidentlens.streaming.daily_ingest import ingest_new_files, read_ingested
@@ -30,7 +31,8 @@ def test_loads_append_and_optionally_dedupe(spark, schema):
     tables.load_daily(records(spark, "2024-01-01", 5), table)
     assert spark.table(table).count() == 10
     tables.load_batch(records(spark, "2024-01-02", 5, first=3), "2024_01", table, dedupe=True)
-    assert spark.table(table).count() == 13
+    tables.load_batch(records(spark, "2024-01-02", 8, first=3), "2024_01", table, dedupe=True)
+    assert spark.table(table).count() == 18
     tables.load_batch(records(spark, "2024-01-02", 0), "none", table)
     assert {r.source for r in spark.table(table).select("source").distinct().collect()} == {"crime_api", "batch_api_2024_01"}
 
@@ -41,6 +43,56 @@ def test_dedupe_keeps_records_without_id(spark, schema):
     assert spark.table(f"{schema}.raw").count() == 4
 
 
+def test_loads_run_twice_are_merged(spark, schema):
+    table = f"{schema}.raw"
+    stored = lambda: sorted((r.id, r.record_data, r.source) for r in spark.table(table).collect())
+    nameless = records(spark, "2024-01-02", 3).select("date", "primary_type").union(
+        spark.createDataFrame([("2024-01-02T00:00:00", "THEFT")], "date string, primary_type string")
+    )
+    undated = spark.createDataFrame([("99", None, "THEFT", True)], "id string, date string, primary_type string, arrest boolean")
+    first = records(spark, "2024-01-01", 5).unionByName(records(spark, "2024-01-02", 5, 5)).unionByName(undated)
+    for _ in range(2):
+        tables.load_batch(first, "a", table, dedupe=True)
+        tables.load_batch(nameless, "n", table, dedupe=True)
+        assert spark.table(table).count() == 11 + 4  # two equal ones without an id stay two
+    before = {r.id: r for r in spark.table(table).filter("day = '2024-01-01'").collect()}
+    changed = records(spark, "2024-01-02", 2, 6).withColumn("arrest", F.lit(None).cast("boolean"))
+    tables.load_batch(changed.unionByName(changed), "b", table, dedupe=True)
+    rows = {r.id: r for r in spark.table(table).filter("id != ''").collect()}
+    assert len(rows) == 11 and spark.table(table).count() == 15
+    assert {i for i, r in rows.items() if r.source == "batch_api_b"} == {"6", "7"}
+    assert all(rows[i] == before[i] for i in before)  # other days are not touched
+    assert len(stored()) == 15
+
+
+def test_merge_keeps_the_last_row_and_the_larger_payload(spark):
+    t = lambda h: datetime(2024, 1, 1, h)
+    ddl = "id string, date timestamp_ntz, record_data string, loaded_at timestamp_ntz, source string, day date"
+    row = lambda i, data, h, day=1: (i, t(0), data, t(h), "s", date(2024, 1, day))
+    stored = spark.createDataFrame([row("a", "9", 1), row("b", "5", 4), row("c", "1", 2)], ddl)
+    batch = spark.createDataFrame([row("a", "1", 3), row("b", "7", 3), row("c", "2", 2), row("c", "0", 2), row("a", "1", 3, 2)], ddl)
+    found = {(r.id, r.day.day): r.record_data for r in tables.merged(stored, batch).collect()}
+    assert found == {("a", 1): "1", ("b", 1): "5", ("c", 1): "2", ("a", 2): "1"}
+
+
+def test_key_filter_passes_all_keys_and_few_others(spark, monkeypatch):
+    keys = spark.range(2000).select((F.col("id") * 7).alias("k"), F.lit("m").alias("m"))
+    others = spark.range(20000).select((F.col("id") * 7 + 1).alias("k"), F.lit("m").alias("m"))
+    test = tables.key_filter(keys, ["k", "m"])
+    assert keys.filter(test).count() == 2000 and others.filter(test).count() < 400
+    assert tables.key_filter(keys.limit(0), ["k", "m"]) is not None
+    monkeypatch.setattr(tables, "MOST_BITS", 64)
+    assert tables.key_filter(keys, ["k", "m"]) is None
+
+
+def test_skipped_rows_do_not_depend_on_partitioning(spark, schema):
+    table = f"{schema}.clusters"
+    twice = clusters(spark, ["1", "2"]).unionByName(clusters(spark, ["1"]).withColumn("cluster_id", F.lit(4)))
+    tables.save_clusters(twice.coalesce(1), table, "DBSCAN", on_duplicate="skip")
+    tables.save_clusters(twice.repartition(3), table, "DBSCAN", on_duplicate="skip")
+    assert {r.id: r.cluster_id for r in spark.table(table).collect()} == {"1": 0, "2": 0}
+
+
 def test_extract_prunes_partitions(spark, schema):
     table = f"{schema}.raw"
     both = records(spark, "2024-01-01", 5).unionByName(records(spark, "2024-01-02", 7, 5))
@@ -96,7 +148,7 @@ def test_marts_refresh(spark, schema, city):
     summary = {r.table_name: r.record_count for r in pipelines.build_marts(city, schema).collect()}
     assert summary == {"Raw Data": 1200, "Staging Data": 1200, "Crime Types": 4, "Daily Patterns": 90, "Location Analysis": 5}
     names = {t.name for t in spark.catalog.listTables(schema) if not t.isTemporary}
-    assert names == set(pipelines.MARTS)
+    assert names == {*pipelines.MARTS, pipelines.PARTIALS}
     pipelines.build_marts(city, schema)  # replaces, does not double
     assert spark.table(f"{schema}.crime_type_analysis").count() == 4
 
@@ -108,6 +160,35 @@ def test_daily_load(spark, schema):
     assert {r.table_name: r.record_count for r in out.collect()}["Raw Data"] == 20
 
 
+def test_three_days_one_by_one_equal_a_full_build(spark, schema):
+    days = [("2024-01-01", 30, 0), ("2024-01-02", 20, 30), ("2023-01-02", 25, 50)]
+    landed = None
+    for day, n, first in days:
+        rows = records(spark, day, n, first).withColumns(
+            {"location_description": F.concat(F.lit("P"), F.col("id") % 3), "district": F.col("id") % 4, "ward": F.lit(None).cast("string")}
+        )
+        landed = rows if landed is None else landed.unionByName(rows)
+    landed = landed.withColumn("date", F.col("date").cast("timestamp_ntz"))
+    one, whole = f"{schema}.raw", f"{schema}.whole"
+    for day, _, _ in days:
+        counts = pipelines.daily_load(landed, date.fromisoformat(day), one, schema, dedupe=True)
+    assert {r.table_name: r.record_count for r in counts.collect()}["Staging Data"] == 75
+    tables.load_batch(landed, "all", whole)
+    full = f"{schema}_full"
+    try:
+        pipelines.build_marts(spark.table(whole), full)
+        for mart, build in pipelines.MARTS.items():
+            rows = lambda df: sorted(map(str, df.collect()))
+            want = rows(build(materialize(stage(spark.table(whole)))))  # from detail rows
+            assert rows(spark.table(f"{schema}.{mart}")) == rows(spark.table(f"{full}.{mart}")) == want, mart
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {full} CASCADE")
+    # a refresh reads the raw partitions of its days only
+    plan = stage(spark.table(one).filter(tables.days_of(spark.table(one).filter("day = '2024-01-02'"))))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in text and "2024-01-02" in text.split("PartitionFilters")[1]
+
+
 def test_spatial_job_end_to_end(spark, schema, city):
     feats = pipelines.build_features(city, f"{schema}.features")
     assert feats.count() == 1200 and len(feats.columns) == 44

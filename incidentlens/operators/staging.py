@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -60,6 +60,40 @@ def typed(raw: DataFrame) -> DataFrame:
     )
 
 
+REASONS = ("no id", "no date", "no payload", "not an object", "malformed")
+
+
+def reject_reason(payload) -> Column:
+    """Why a record can't be used; null for a good one."""
+    text = F.col("record_data")
+    no_id, no_date, no_payload, not_an_object, malformed = map(F.lit, REASONS)
+    return (
+        F.when(F.col("id").isNull(), no_id)
+        .when(F.col("date").isNull(), no_date)
+        .when(text.isNull(), no_payload)
+        .when(~F.ltrim(text).startswith("{"), not_an_object)
+        .when(~_is_record(payload), malformed)
+    )
+
+
+def split_records(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Good and rejected records as tables, and how many of each, from one scan.
+
+    The raw rows are parsed once and written once, in two partitions; rejected ones keep
+    their text and carry the reason, so that they can be mended and loaded again.  The
+    counts are observed while the rows pass by."""
+    seen = Observation()
+    judged = _parse(raw).withColumn("reason", reject_reason(F.col("payload")))
+    judged = judged.withColumn("rejected", F.col("reason").isNotNull()).drop("payload")
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    watched = judged.observe(seen, F.count_if(~F.col("rejected")).alias("good"), *counts)
+    watched.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    both = raw.sparkSession.read.schema(judged.schema).parquet(path)
+    good = both.filter(~F.col("rejected")).select(*raw.columns)
+    bad = both.filter("rejected").select(*raw.columns, "reason")
+    return good, bad, {k: v for k, v in seen.get.items() if v or k == "good"}
+
+
 def parse_counts(raw: DataFrame) -> DataFrame:
     """How many records parse and how many are dropped."""
     ok = _is_record(F.col("payload"))

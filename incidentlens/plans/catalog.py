@@ -27,11 +27,12 @@ from ..operators import (
     reports,
     series,
 )
-from ..operators.staging import parse_counts, stage, typed
+from ..operators.staging import parse_counts, split_records, stage, typed
 from ..session import materialize, scratch_dir
 from ..sinks import exports, tables
 from ..sources import landing
-from ..sources.incident_views import events_raw, lineitem_places, orders_raw, table
+from ..sources.incident_views import damaged_events, events_raw, lineitem_places, orders_raw, table
+from ..streaming import daily_counts
 from . import pipelines
 
 AS_OF = date(2024, 1, 31)
@@ -103,7 +104,74 @@ def staged_incidents(spark, sf):
 
 
 def parse_quality(spark, sf):
-    return parse_counts(events_raw(spark, sf))
+    return parse_counts(damaged_events(spark, sf))
+
+
+def rejected_records(spark, sf):
+    """Rejected records by reason, and the good ones, read back from their tables."""
+    good, bad, counts = split_records(damaged_events(spark, sf), f"{scratch_dir(spark)}/{uuid.uuid4().hex}")
+    read = good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason"))
+    observed = F.create_map(*[F.lit(x) for k, v in counts.items() for x in (k, v)])
+    return (
+        read.groupBy("reason").agg(F.count("*").alias("records"))
+        .withColumn("observed", F.get(F.map_values(F.map_filter(observed, lambda k, v: k == F.col("reason"))), 0).cast("long"))
+    )
+
+
+def rejected_lines(spark, sf):
+    """Lines of CSV and JSON files that fit a schema, and those that don't."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value")
+    kind = F.col("event_id") % 19
+    number, value = F.col("event_id").cast("string"), F.col("value").cast("string")
+    as_csv = (
+        F.when(kind == 0, F.concat_ws(",", F.lit("x"), "event_type", value))  # no number
+        .when(kind == 1, F.concat_ws(",", number, "event_type"))  # too few fields
+        .when(kind == 2, F.concat_ws(",", number, "event_type", value, F.lit("more")))
+        .otherwise(F.concat_ws(",", number, "event_type", value))
+    )
+    whole = F.to_json(F.struct("event_id", "event_type", "value"))
+    as_json = (
+        F.when(kind == 0, F.substring(whole, 1, 20))
+        .when(kind == 1, F.lit("[]"))
+        .when(kind == 2, F.to_json(F.struct(F.lit("x").alias("event_id"))))
+        .otherwise(whole)
+    )
+    base, out = f"{scratch_dir(spark)}/{uuid.uuid4().hex}", None
+    for form, line in (("csv", as_csv), ("json", as_json)):
+        ev.select(line.alias("value")).write.text(f"{base}/{form}")
+        good, bad, _ = landing.split_file(
+            spark, f"{base}/{form}", "event_id long, event_type string, value double", form, f"{base}/{form}_read"
+        )
+        ids = good.agg(
+            F.lit(form).alias("form"), F.lit(False).alias("rejected"), F.count("*").alias("lines"), F.sum("event_id").alias("ids")
+        )
+        lines = bad.agg(
+            F.lit(form).alias("form"), F.lit(True).alias("rejected"), F.count("line").alias("lines"),
+            F.lit(None).cast("long").alias("ids"),
+        )
+        both = ids.unionByName(lines)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def streamed_counts(spark, sf):
+    """Daily counts of a file stream that is stopped and started again: the second file
+    repeats the records of two days and brings some of them late."""
+    base = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    day = F.to_date("ts")
+    ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    held_back = (day >= F.lit(date(2024, 1, 13))) & (F.col("event_id") % 5 == 0)
+    parts = [
+        ev.filter((day < F.lit(date(2024, 1, 15))) & ~held_back),
+        ev.filter(day >= F.lit(date(2024, 1, 13))),
+    ]
+    for part in parts:
+        # one file is one micro-batch, whose records may be in any order
+        records = part.select(F.col("event_id").alias("id"), F.col("ts").alias("date"), "event_type", "value")
+        records.coalesce(1).write.mode("append").json(f"{base}/landing")
+        query = daily_counts.count_new_files(spark, f"{base}/landing", records.schema, f"{base}/counts", f"{base}/state")
+        query.awaitTermination()
+    return daily_counts.read_counts(spark, f"{base}/counts").withColumn("total", F.round("total", 4))
 
 
 def window_extract(cut, view=events_raw):
@@ -772,6 +840,9 @@ QUERIES: dict[str, Query] = {
     "nearest_center": nearest_center,
     "kmeans_assign": kmeans_assign,
     "kmeans_sweep": kmeans_sweep,
+    "rejected_records": rejected_records,
+    "rejected_lines": rejected_lines,
+    "streamed_counts": streamed_counts,
     "repeated_load": repeated_load,
     "keyed_append": keyed_append,
     "incremental_patterns": incremental_patterns,

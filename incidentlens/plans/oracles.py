@@ -267,7 +267,18 @@ SELECT id, incident_date, case_number, primary_type, description, location_descr
     "typed_incidents": with_e("""
 SELECT id, date, case_number, primary_type, description, location_description, arrest, domestic, beat, district,
   ward, community_area, latitude, longitude, CAST(year(date) AS INTEGER) AS year, date AS loaded_at, 'events' AS source FROM e"""),
-    "parse_quality": "SELECT count(*) AS parsed, CAST(0 AS BIGINT) AS dropped FROM events",
+    "parse_quality": f"""
+SELECT {count_if('event_id % 23 > 4')} AS parsed, {count_if('event_id % 23 <= 4')} AS dropped FROM events""",
+    "rejected_records": """
+WITH r AS (
+  SELECT CASE event_id % 23 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no payload' WHEN 2 THEN 'not an object' WHEN 3 THEN 'not an object'
+    WHEN 4 THEN 'not an object' WHEN 5 THEN 'no id' WHEN 6 THEN 'no date' ELSE 'good' END AS reason FROM events)
+SELECT reason, count(*) AS records, count(*) AS observed FROM r GROUP BY reason""",
+    "rejected_lines": """
+WITH f AS (SELECT event_id, event_id % 19 <= 2 AS rejected, form FROM events, (VALUES ('csv'), ('json')) t(form))
+SELECT form, rejected, count(*) AS lines, CAST(CASE WHEN rejected THEN NULL ELSE sum(event_id) END AS BIGINT) AS ids FROM f GROUP BY form, rejected""",
+    "streamed_counts": """
+SELECT CAST(ts AS DATE) AS incident_date, event_type, count(*) AS records, round(sum(value), 4) AS total FROM events GROUP BY ALL""",
     "window_extract_day": """
 SELECT CAST(event_id AS VARCHAR) AS id, ts AS date, 'events' AS source FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'""",
     "window_extract_fallback": """

@@ -94,3 +94,25 @@ def lineitem_places(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(41.65) + (block % 7) * F.lit(0.06) + within(48271, 16807, 2147483647)).alias("latitude"),
         (F.lit(-87.85) + F.floor(block / 7) * F.lit(0.07) + within(69621, 40692, 2147483399)).alias("longitude"),
     ).distinct()
+
+
+def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events of which some are cut off, empty, no JSON object, or without id or date."""
+    raw = events_raw(spark, sf_dir)
+    kind = F.col("id").cast("long") % 23
+    text = F.col("record_data")
+    damaged = (
+        F.when(kind == 0, F.substring(text, 1, 40))
+        .when(kind == 1, None)
+        .when(kind == 2, F.lit("[1, 2]"))
+        .when(kind == 3, F.lit("plain text"))
+        .when(kind == 4, F.lit(""))
+        .otherwise(text)
+    )
+    return raw.select(
+        F.when(kind != 5, F.col("id")).alias("id"),
+        F.when(kind != 6, F.col("date")).alias("date"),
+        damaged.alias("record_data"),
+        "loaded_at",
+        "source",
+    )

@@ -9,10 +9,10 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW, RAW_PARTITION
+from ..schema import CORRUPT, RAW, RAW_PARTITION
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -89,6 +89,34 @@ def read_json_document(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def split_file(
+    spark: SparkSession, path: str, schema: str, form: str, target: str, **options
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Good rows and rejected lines of CSV files or of files with a JSON object per line
+    (`form`), as tables under `target`, with their counts, from one scan.
+
+    A line that does not fit the schema (a value of another type, too few or too many
+    fields, no JSON object) is rejected as a whole and kept as text."""
+    whole = f"{schema}, {CORRUPT} string"
+    permissive = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
+    if form == "json":
+        # line by line: the reader itself makes no row, or many, of a line with an array
+        line = F.col("value")
+        parsed = F.explode(F.array(F.from_json(line, whole, permissive)))
+        rows = spark.read.text(path).select(line, parsed.alias("p"))
+        fits = F.ltrim(line).startswith("{") & F.col(f"p.{CORRUPT}").isNull() & F.col("p").isNotNull()
+        rows = rows.select("p.*", F.when(~fits, line).alias("_line")).drop(CORRUPT).withColumnRenamed("_line", CORRUPT)
+    else:
+        rows = spark.read.options(**permissive).schema(whole).csv(path)
+    judged = rows.withColumn("rejected", F.col(CORRUPT).isNotNull())
+    seen = Observation()
+    watched = judged.observe(seen, F.count_if(~F.col("rejected")).alias("good"), F.count_if("rejected").alias("rejected"))
+    watched.write.mode("overwrite").partitionBy("rejected").parquet(target)
+    both = spark.read.schema(judged.schema).parquet(target)
+    good = both.filter(~F.col("rejected")).drop("rejected", CORRUPT)
+    return good, both.filter("rejected").select(F.col(CORRUPT).alias("line")), dict(seen.get)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower, upper, partitions: int, **properties) -> DataFrame:
     """A database table read in parallel ranges of `column`."""
     return spark.read.jdbc(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..schema import FEATURE_TYPES
+from ..session import materialize
 from .scale import lookup_join
 
 
@@ -75,22 +76,23 @@ def crime_features(df: DataFrame) -> DataFrame:
     return lookup_join(crime_categories(df), arrest_rates(df), ["primary_type"], "_n").drop("_n")
 
 
-def daily_counts(df: DataFrame) -> DataFrame:
-    """Incidents per calendar day with trailing means over the days present.
+def _trailing(daily: DataFrame) -> DataFrame:
+    """Trailing means over the days present.
 
     The window runs over one row per day, bounded by the calendar."""
     in_order = Window.orderBy("day")
-    return (
-        df.groupBy(F.to_date("date").alias("day"))
-        .agg(F.count("*").alias("daily_crime_count"))
-        .withColumns(
-            {
-                f"crimes_{n}day_avg": F.avg("daily_crime_count").over(
-                    in_order.rowsBetween(1 - n, 0)
-                )
-                for n in (7, 30)
-            }
-        )
+    return daily.withColumns(
+        {
+            f"crimes_{n}day_avg": F.avg("daily_crime_count").over(in_order.rowsBetween(1 - n, 0))
+            for n in (7, 30)
+        }
+    )
+
+
+def daily_counts(df: DataFrame) -> DataFrame:
+    """Incidents per calendar day with trailing means."""
+    return _trailing(
+        df.groupBy(F.to_date("date").alias("day")).agg(F.count("*").alias("daily_crime_count"))
     )
 
 
@@ -102,13 +104,27 @@ def lag_features(df: DataFrame) -> DataFrame:
 def all_features(typed: DataFrame, wrap_night: bool = False) -> DataFrame:
     """The full 43-column feature set.
 
-    The two lookups (rates by type, counts by day) are small aggregates of the
-    narrow input columns, so the wide rows themselves are never shuffled."""
-    df = spatial_features(temporal_features(typed, wrap_night))
-    df = lookup_join(crime_categories(df), arrest_rates(typed), ["primary_type"], "_n")
-    df = lookup_join(
-        df.withColumn("day", F.to_date("date")), daily_counts(typed), ["day"], "daily_crime_count"
+    Both lookups (rates by type, counts by day) come from one small aggregate by type and
+    day, which is written once; so the JSON is parsed for that and for the rows
+    themselves, which are never shuffled."""
+    arrest = F.col("arrest").cast("double")
+    by_both = materialize(
+        typed.groupBy("primary_type", F.to_date("date").alias("day")).agg(
+            F.count("*").alias("n"), F.sum(arrest).alias("arrests"), F.count(arrest).alias("known")
+        )
+    )
+    rates = (
+        by_both.filter(F.col("primary_type").isNotNull())
+        .groupBy("primary_type")
+        .agg(
+            F.sum("n").alias("_n"),
+            F.try_divide(F.sum("arrests"), F.sum("known")).alias("crime_type_arrest_rate"),
+        )
     )
+    daily = _trailing(by_both.groupBy("day").agg(F.sum("n").alias("daily_crime_count")))
+    df = spatial_features(temporal_features(typed, wrap_night))
+    df = lookup_join(crime_categories(df), rates, ["primary_type"], "_n")
+    df = lookup_join(df.withColumn("day", F.to_date("date")), daily, ["day"], "daily_crime_count")
     order = [c for c in FEATURE_TYPES if c != "created_at"]
     return df.select(*order)
 

@@ -27,7 +27,7 @@ from ..operators import (
     reports,
     series,
 )
-from ..operators.staging import parse_counts, split_records, stage, typed
+from ..operators.staging import create_staging_view, parse_counts, split_records, stage, typed
 from ..session import materialize, scratch_dir
 from ..sinks import exports, tables
 from ..sources import landing
@@ -199,13 +199,13 @@ def _own_schema(spark) -> str:
 
 
 def repeated_load(spark, sf):
-    """Ten days loaded twice, then five of them and five more with corrected values."""
+    """Ten days loaded twice, then five of them and all later ones with corrected values."""
     records = table(spark, sf, "events").select(
         F.col("event_id").alias("id"), F.col("ts").alias("date"), "event_type", "value"
     )
     raw = f"{_own_schema(spark)}.raw"
     early = records.filter(F.to_date("date") < F.lit(date(2024, 1, 11)))
-    late = records.filter(F.to_date("date").between(date(2024, 1, 6), date(2024, 1, 15)))
+    late = records.filter(F.to_date("date") >= F.lit(date(2024, 1, 6)))
     corrected = F.when(F.col("id") % 3 == 0, F.col("value") + 1000).otherwise(F.col("value"))
     for _ in range(2):
         tables.load_batch(early, "early", raw, dedupe=True)
@@ -224,7 +224,7 @@ def keyed_append(spark, sf):
     number = F.col("id").cast("long")
     rows = e_spatial_table(spark, sf).select("id", "date", "primary_type", "latitude", "longitude")
     first = rows.filter(number % 2 == 0).withColumn("cluster_id", F.lit(0))
-    second = rows.filter(number % 3 == 0).withColumn("cluster_id", F.lit(1))
+    second = rows.filter((number % 2 == 1) | (number % 3 == 0)).withColumn("cluster_id", F.lit(1))
     tables.save_clusters(first, clusters, "DBSCAN")
     try:
         tables.save_clusters(second, clusters, "DBSCAN")
@@ -514,6 +514,103 @@ def dbscan_scaled(spark, sf):
     return hotspots.cluster_profiles(materialize(labelled)).drop("crime_types", "districts")
 
 
+def fitted_hotspots(spark, sf):
+    """Hotspots of a fitted density clustering, stored and read back."""
+    gridded = materialize(clustering.grid_features(e_spatial_table(spark, sf)))
+    labelled = materialize(dbscan.dbscan(gridded, DEGREES, 0.02, 5, order_by=F.col("id").cast("long")))
+    stored = f"{_own_schema(spark)}.hotspots"
+    tables.save_hotspots(hotspots.cluster_profiles(labelled), stored, "DBSCAN")
+    return spark.table(stored).select(
+        F.col("cluster_id").cast("long").alias("cluster_id"),
+        "model_type",
+        "crime_type_filter",
+        F.col("cluster_size").cast("long").alias("cluster_size"),
+        F.col("risk_score").cast("double").alias("risk_score"),
+        "top_crime_type",
+        F.col("peak_hour").cast("long").alias("peak_hour"),
+    )
+
+
+def violent_clusters(spark, sf):
+    """Density clusters of violent incidents alone, stored under their own filter name."""
+    violent = materialize(filters.spatial_scan(e_features(spark, sf), violent_only=True))
+    labelled = dbscan.dbscan(violent, DEGREES, 0.02, 5, order_by=F.col("id").cast("long"))
+    stored = f"{_own_schema(spark)}.clusters"
+    tables.save_clusters(labelled, stored, "DBSCAN", "VIOLENT")
+    return spark.table(stored).select(
+        "id", F.col("cluster_id").cast("long").alias("cluster_id"), "model_type", "crime_type_filter"
+    )
+
+
+def kmeans_partition(spark, sf):
+    """K-means with four clusters over places moved into four clumps far apart; a cluster
+    is named by its smallest id."""
+    beat = F.col("beat_num").cast("long")
+    moved = e_spatial_table(spark, sf).withColumns(
+        {"latitude": F.col("latitude") + 9 * (beat % 2), "longitude": F.col("longitude") + 7 * (F.floor(beat / 2) % 2)}
+    )
+    clumps = materialize(clustering.standardize(moved, DEGREES))
+    labelled, _ = clustering.kmeans_labels(clumps, clustering.scaled_names(DEGREES), k=4)
+    number = F.col("id").cast("long")
+    names = labelled.groupBy("cluster_id").agg(F.min(number).alias("cluster"))
+    return labelled.join(F.broadcast(names), "cluster_id").select("id", "cluster")
+
+
+def guarded_rows(spark, sf):
+    """The recent month if it has enough rows, else all."""
+    feats = materialize(e_features(spark, sf))
+    scan = lambda least: filters.recent_or_all(feats, least, as_of=date(2024, 2, 15))
+    parts = [
+        scan(least).agg(F.lit(name).alias("rows_of"), F.count("*").alias("records"), F.min("date").alias("since"))
+        for name, least in (("recent month", 10), ("all", 2_000_000_000))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def stored_tables(spark, sf):
+    """A table created, replaced and stamped, and the staging view over the raw rows."""
+    schema = _own_schema(spark)
+    rows = e_spatial_table(spark, sf).select("id", "date", "primary_type")
+    for part in (rows.filter("primary_type = 'THEFT'"), rows):
+        tables.replace_table(tables.with_provenance(part, "K-means", "ALL"), f"{schema}.incidents")
+    view = f"stg_{schema}"
+    create_staging_view(events_raw(spark, sf), view)
+    stamped = spark.table(f"{schema}.incidents").groupBy("model_type", "crime_type_filter").agg(
+        F.count("*").alias("records"), F.count("created_at").alias("stamped")
+    )
+    staged = spark.table(view).agg(
+        F.lit("staging").alias("model_type"), F.lit("none").alias("crime_type_filter"),
+        F.count("*").alias("records"), F.count("loaded_at").alias("stamped"),
+    )
+    return stamped.unionByName(staged)
+
+
+def exported_hotspots(spark, sf):
+    """The hotspot file, written as CSV and read back by its schema."""
+    named = blob_profiles(spark, sf).select(
+        "cluster_id", F.lit("DBSCAN").alias("model_type"), "risk_score", F.col("size").alias("cluster_size"),
+        "top_crime_type", F.col("center_lat").alias("center_latitude"), F.col("center_lon").alias("center_longitude"),
+        "violent_crime_ratio", "property_crime_ratio", "peak_hour", "weekend_ratio",
+    )
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    exports.write_csv(exports.hotspot_export(named), path)
+    read = landing.read_csv(spark, path, landing.HOTSPOT_CSV)
+    whole = ("cluster_id", "cluster_size", "peak_hour")
+    return read.select("model_type", "risk_score", "top_crime_type", *[F.col(c).cast("long").alias(c) for c in whole],
+                       *[F.round(c, 6).alias(c) for c in ("lat", "lon", "violent_crime_ratio", "weekend_ratio")])
+
+
+def raw_or_nothing(spark, sf):
+    """The landed rows of a folder, and none of one that does not exist."""
+    base = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    events_raw(spark, sf).write.parquet(f"{base}/raw")
+    parts = [
+        landing.read_raw(spark, f"{base}/{name}").agg(F.lit(name).alias("folder"), F.count("*").alias("records"))
+        for name in ("raw", "absent")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def dbscan_dense(spark, sf):
     """Density clustering of mostly distinct places, a third of them in one block."""
     labelled = dbscan.dbscan(
@@ -840,6 +937,13 @@ QUERIES: dict[str, Query] = {
     "nearest_center": nearest_center,
     "kmeans_assign": kmeans_assign,
     "kmeans_sweep": kmeans_sweep,
+    "fitted_hotspots": fitted_hotspots,
+    "violent_clusters": violent_clusters,
+    "kmeans_partition": kmeans_partition,
+    "guarded_rows": guarded_rows,
+    "stored_tables": stored_tables,
+    "exported_hotspots": exported_hotspots,
+    "raw_or_nothing": raw_or_nothing,
     "rejected_records": rejected_records,
     "rejected_lines": rejected_lines,
     "streamed_counts": streamed_counts,

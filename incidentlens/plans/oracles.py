@@ -236,12 +236,12 @@ SELECT CAST(ts AS DATE) AS day,
   CASE WHEN ts >= TIMESTAMP '2024-01-06' THEN 'batch_api_late' ELSE 'batch_api_early' END AS source,
   count(*) AS records, count(DISTINCT event_id) AS ids,
   round(sum(value + CASE WHEN ts >= TIMESTAMP '2024-01-06' AND event_id % 3 = 0 THEN 1000 ELSE 0 END), 4) AS total
-FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ALL""",
+FROM events GROUP BY ALL""",
     "keyed_append": with_e("""
 , n AS (SELECT CAST(id AS BIGINT) AS k FROM located),
 s AS (
-  SELECT 'DBSCAN' AS model_type, CASE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS cluster_id, k FROM n WHERE k % 2 = 0 OR k % 3 = 0
-  UNION ALL SELECT 'K-means', 1, k FROM n WHERE k % 3 = 0)
+  SELECT 'DBSCAN' AS model_type, CASE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS cluster_id, k FROM n
+  UNION ALL SELECT 'K-means', 1, k FROM n WHERE k % 2 = 1 OR k % 3 = 0)
 SELECT model_type, CAST(cluster_id AS BIGINT) AS cluster_id, count(*) AS stored, count(DISTINCT k) AS ids, true AS refused FROM s GROUP BY ALL"""),
     "dbscan_dense": "WITH RECURSIVE" + PLACES.replace("{r}", "0.00020001e0") + """,
 touch AS (SELECT id, id2 FROM near WHERE dist <= 0.0002e0),
@@ -647,3 +647,30 @@ SELECT cluster_id, printf('(%.4f, %.4f)', center_lat, center_lon) AS location, s
   printf('%.1f%%', violent_crime_ratio * 100) AS violent_ratio FROM profile WHERE risk_score > 70
 ORDER BY risk_score DESC, cluster_id LIMIT 8""", GRID, BLOBS)
 ORACLES["incremental_patterns"] = ORACLES["daily_patterns"]
+ORACLES |= {
+    "fitted_hotspots": with_e("""
+SELECT cluster_id, 'DBSCAN' AS model_type, 'ALL' AS crime_type_filter, size AS cluster_size, risk_score, top_crime_type,
+  CAST(peak_hour AS BIGINT) AS peak_hour FROM profile""", GRID, DBSCAN, BLOBS.replace(
+        "CAST((user_id % 7) * 5 + user_id % 5 AS BIGINT) AS cluster_id FROM gridded",
+        "FROM gridded JOIN labelled USING (id) WHERE cluster_id >= 0",
+    ).replace("SELECT *, FROM", "SELECT * FROM")).replace("WITH", "WITH RECURSIVE", 1),
+    "violent_clusters": with_e("""
+SELECT id, cluster_id, 'DBSCAN' AS model_type, 'VIOLENT' AS crime_type_filter FROM labelled""", DBSCAN.replace(
+        "FROM located GROUP BY ALL", "FROM located WHERE is_violent_crime GROUP BY ALL"
+    ).replace(
+        "FROM located LEFT JOIN labels", "FROM (FROM located WHERE is_violent_crime) located LEFT JOIN labels"
+    )).replace("WITH", "WITH RECURSIVE", 1),
+    "kmeans_partition": with_e("""
+SELECT id, min(event_id) OVER (PARTITION BY user_id % 2, user_id // 2 % 2) AS cluster FROM located"""),
+    "guarded_rows": with_e("""
+SELECT 'recent month' AS rows_of, count(*) AS records, min(date) AS since FROM located WHERE date >= TIMESTAMP '2024-01-15'
+UNION ALL SELECT 'all', count(*), min(date) FROM located"""),
+    "stored_tables": with_e("""
+SELECT 'K-means' AS model_type, 'ALL' AS crime_type_filter, count(*) AS records, count(*) AS stamped FROM located
+UNION ALL SELECT 'staging', 'none', count(*), count(*) FROM e"""),
+    "exported_hotspots": with_e("""
+SELECT cluster_id, 'DBSCAN' AS model_type, risk_score, size AS cluster_size, top_crime_type, CAST(peak_hour AS BIGINT) AS peak_hour,
+  round(center_lat, 6) AS lat, round(center_lon, 6) AS lon, round(violent_crime_ratio, 6) AS violent_crime_ratio,
+  round(weekend_ratio, 6) AS weekend_ratio FROM profile""", GRID, BLOBS),
+    "raw_or_nothing": "SELECT 'raw' AS folder, count(*) AS records FROM events UNION ALL SELECT 'absent', 0",
+}

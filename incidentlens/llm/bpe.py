@@ -27,10 +27,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices
+from .common import byte_slices, in_worker
 
 SLICE_BYTES = 4_000_000
-STORED = 500_000
+STORED = 20_000_000  # bytes of chunks that a worker stores, an entry with ENTRY more
+ENTRY = 120
 NONE = np.int32(2**31 - 1)
 
 
@@ -92,7 +93,7 @@ class Codec:
         self._restart()
 
     def _restart(self) -> None:
-        self.store = {"": 0}
+        self.store, self.held = {"": 0}, 0
         self.flat = np.zeros(0, np.int32)
         self.lens = np.zeros(1, np.int64)
 
@@ -173,6 +174,7 @@ class Codec:
         bounds = ends[np.concatenate(([0], np.cumsum(counts)))]
         start = len(self.store)
         self.store.update(zip(chunks, range(start, start + len(chunks))))
+        self.held += sum(map(len, chunks)) + ENTRY * len(chunks)
         self.flat = np.concatenate((self.flat, ids))
         self.lens = np.concatenate((self.lens, np.diff(bounds)))
 
@@ -181,7 +183,7 @@ class Codec:
         # the pattern never crosses a blank or a line feed, and nothing composes
         # across them, so chunks between them can be looked up
         chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.store) > STORED:
+        if self.held > STORED:
             self._restart()
         new = list(set(chain.from_iterable(chunks)).difference(self.store))
         if new:
@@ -197,15 +199,10 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def _codec(tables) -> Codec:
-    """One codec per worker process and vocabulary."""
+    """One codec per worker process and vocabulary, while this operator runs."""
     value = tables.value
-    if value["path"] not in _codecs:
-        _codecs[value["path"]] = Codec(value)
-    return _codecs[value["path"]]
+    return in_worker(("bpe", value["path"]), lambda: Codec(value))
 
 
 def default_path() -> str:

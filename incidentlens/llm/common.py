@@ -54,3 +54,15 @@ def byte_slices(batch, column: str, limit: int):
         stop = min(max(stop, start + 1), len(values))
         yield batch.slice(start, stop - start)
         start = stop
+
+
+_held: dict = {}
+
+
+def in_worker(key, make):
+    """What an operator holds in a Python worker (tables, a store of what it has met).
+    Workers are reused, so only the operator that ran last holds something."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, read
+from .common import byte_slices, in_worker, read
 
 SAMPLE = 2_000
 DECAY = 0.75
@@ -45,7 +45,8 @@ NEGATIVES = 6_000
 ROUNDS = 4
 COST = 100.0
 SLICE_BYTES = 4_000_000
-STORED = 500_000
+STORED = 20_000_000  # bytes of tokens that a worker stores, an entry with ENTRY more
+ENTRY = 120
 PIECE, OVERLAP = 64, 24  # longer segments are scored in overlapping pieces
 OFFSETS = [(i, j, k) for k in range(3, SPAN) for i, j in combinations(range(1, k), 2)]
 
@@ -222,28 +223,29 @@ def hash_of(s: str) -> int:
     return out
 
 
+def pieces_of(s: str) -> list[str]:
+    """A segment in overlapping pieces, so that long ones are read whole."""
+    if len(s) <= PIECE:
+        return [s]
+    return [s[k : k + PIECE] for k in range(0, len(s) - OVERLAP, PIECE - OVERLAP)]
+
+
 class Scorer:
     def __init__(self, table: np.ndarray, bias: float):
-        self.table, self.bias, self.store = table, bias, {}
+        self.table, self.bias, self.store, self.held = table, bias, {}, 0
 
     def _learn(self, new: list[str]) -> None:
-        names = [segment(t) for t in new]
-        step = PIECE - OVERLAP
-        pieces = [
-            [s[k : k + PIECE] for k in range(0, max(1, len(s) - OVERLAP), step)]
-            if len(s) > PIECE
-            else [s]
-            for s in names
-        ]
+        pieces = [pieces_of(segment(t)) for t in new]
         margins = Subsequences([p for ps in pieces for p in ps]).dot(self.table) + self.bias
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
         worst = np.maximum.reduceat(margins, np.cumsum(counts) - counts)
         self.store.update(zip(new, worst.tolist()))
+        self.held += sum(map(len, new)) + ENTRY * len(new)
 
     def margins(self, texts: list[str | None]) -> np.ndarray:
         bags = [tokens(t) if t else set() for t in texts]
-        if len(self.store) > STORED:
-            self.store.clear()
+        if self.held > STORED:
+            self.store, self.held = {}, 0
         new = set().union(*bags).difference(self.store)
         if new:
             self._learn(list(new))
@@ -252,21 +254,16 @@ class Scorer:
         return np.array([max(map(get, bag), default=floor) for bag in bags])
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model) -> Scorer:
-    """One scorer, with its store of tokens, per worker process and model."""
+    """One scorer, with its store of tokens, per worker process and model, while this
+    operator runs."""
     name, table, bias = model.value
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(table, bias)
-    return _scorers[name]
+    return in_worker(("toxicity", name), lambda: Scorer(table, bias))
 
 
-def _margins(docs: DataFrame, model) -> DataFrame:
-    """The columns of `docs` (which has `text`) but for the text, and `margin`."""
-    others = [c for c in docs.columns if c != "text"]
+def _margins(docs: DataFrame, model, keep_text: bool = False) -> DataFrame:
+    """The columns of `docs` (which has `text`), the text only on request, and `margin`."""
+    others = [c for c in docs.columns if keep_text or c != "text"]
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +280,7 @@ def contexts(text: str) -> set[tuple[str, str]]:
     """Segments of a text, each with the token before it.  A word that only copies
     of one text share has one context, however many copies there are."""
     own = text.lower().split()
-    found = {(segment(t)[:PIECE], before) for t, before in zip(own, ["", *own])}
+    found = {(s, before) for t, before in zip(own, ["", *own]) for s in pieces_of(segment(t))}
     found |= {(t, "") for t in tokens(text) - set(own)}
     return {x for x in found if x[0]}
 
@@ -385,12 +382,15 @@ def fit(
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The columns of `docs` as struct `row`, and `score`."""
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    # a text goes to the worker and back once
+    others = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != text])
+    rows = docs.select(others.alias("others"), F.col(text).alias("text"))
     if model.broadcast is None:
-        margins = rows.select("row", F.lit(0.0).alias("margin"))
+        margins = rows.withColumn("margin", F.lit(0.0))
     else:
-        margins = _margins(rows, model.broadcast)
-    return margins.select("row", model.score(F.col("margin")).alias("score"))
+        margins = _margins(rows, model.broadcast, keep_text=True)
+    whole = F.struct(*[(F.col("text") if c == text else F.col("others").getField(c)).alias(c) for c in docs.columns])
+    return margins.select(whole.alias("row"), model.score(F.col("margin")).alias("score"))
 
 
 def clean(

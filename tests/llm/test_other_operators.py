@@ -233,3 +233,27 @@ def test_pipeline_is_the_stages_in_turn(spark):
     ]
     out = p.run(spark, SF)
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns) and out.count() > 0
+
+
+def test_worker_stores_are_bounded_by_bytes_and_given_up():
+    from incidentlens.llm import bpe, common
+
+    codec = bpe.Codec(bpe.load_tables(bpe.default_path()))
+    want = codec.encode(["ab cd", "x" * 3000])[0].tolist()
+    codec.held = bpe.STORED + 1
+    assert codec.encode(["ab cd", "x" * 3000])[0].tolist() == want
+    assert codec.held < 10_000 and len(codec.store) == 4
+    scorer = toxicity.Scorer.__new__(toxicity.Scorer)
+    first = common.in_worker("one", lambda: scorer)
+    assert common.in_worker("one", lambda: None) is first
+    common.in_worker("two", lambda: 2)
+    assert list(common._held) == ["two"]
+    common._held.clear()
+
+
+def test_long_segments_are_learnt_whole():
+    text = "x" * 500 + "blockhead" + "y" * 500
+    pieces = {s for s, _ in toxicity.contexts(text)}
+    assert any("blockhead" in s for s in pieces)
+    assert max(map(len, pieces)) <= toxicity.PIECE
+    assert toxicity.pieces_of("abc") == ["abc"]

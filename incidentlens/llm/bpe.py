@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, in_worker
 
 SLICE_BYTES = 4_000_000
-STORED = 20_000_000  # bytes of chunks that a worker stores, an entry with ENTRY more
+STORED = 64_000_000  # bytes of chunks that a worker stores, an entry with ENTRY more
 ENTRY = 120
 NONE = np.int32(2**31 - 1)
 

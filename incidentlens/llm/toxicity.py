@@ -45,7 +45,7 @@ NEGATIVES = 6_000
 ROUNDS = 4
 COST = 100.0
 SLICE_BYTES = 4_000_000
-STORED = 20_000_000  # bytes of tokens that a worker stores, an entry with ENTRY more
+STORED = 64_000_000  # bytes of tokens that a worker stores, an entry with ENTRY more
 ENTRY = 120
 PIECE, OVERLAP = 64, 24  # longer segments are scored in overlapping pieces
 OFFSETS = [(i, j, k) for k in range(3, SPAN) for i, j in combinations(range(1, k), 2)]

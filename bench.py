@@ -26,7 +26,8 @@ HEADLINE = (
     "dbscan_clusters", "dbscan_scaled", "kdistance_eps", "hotspot_profile",
     "risk_score", "daily_series_filled", "seasonal_decompose", "forecast_metrics",
     "arima_forecast", "additive_forecast", "adf_test", "model_comparison",
-    "sampled_export", "summary_document",
+    "sampled_export", "summary_document", "dbscan_dense", "kdistance_dense", "blob_metrics",
+    "strip_sweep",
 )
 
 

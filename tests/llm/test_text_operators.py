@@ -331,6 +331,29 @@ def test_crowded_buckets_are_split(spark, monkeypatch):
     assert results[0] == results[1] == {i for i in range(180) if i % 3}
 
 
+def test_crowded_buckets_lose_no_pair(spark, monkeypatch):
+    """Lines of the same few words in other orders crowd every bucket; the pairs found do not
+    depend on whether buckets are cut."""
+    import random
+
+    rng = random.Random(8)
+    common = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(44)]
+    lines = []
+    for _ in range(60):
+        words = rng.sample(common, 33)
+        other = list(words)
+        for i in rng.sample(range(33), 5):
+            other[i] = f"q{rng.randrange(10**6)}"
+        lines += [" ".join(words), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc long, text string")
+    results = []
+    for crowded in (10**9, 0, 7):
+        monkeypatch.setattr(linededup, "CROWDED", crowded)
+        results.append({r.doc for r in linededup.repeated_lines(docs).collect()})
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) >= 40 and all(i % 2 for i in results[0])
+
+
 def test_recall_of_edited_lines_by_length(spark):
     """Of lines with a tenth of their words replaced, or a random letter in 3 % of the
     places, at least nine tenths are found, in all length classes."""

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..operators.scale import lookup_join
-from ..session import materialize
+from ..session import materialize, settled
 from .common import byte_slices
 from .wordhash import U, arrow_texts, mix, run_hashes, spans, word_hashes
 
@@ -567,7 +567,7 @@ def representatives(
 ) -> DataFrame:
     """The columns of `docs`: of every group of linked documents the row with the
     smallest id; of repeated rows one; rows without words all."""
-    found = materialize(join(docs, text, doc_id, **options))
+    found = settled(lambda: join(docs, text, doc_id, **options))
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     linked = found.filter("n_shingles > 0")
     gone = linked.filter(~first).select("doc_id", "text_hash")

@@ -47,6 +47,7 @@ COST = 100.0
 SLICE_BYTES = 4_000_000
 STORED = 64_000_000  # bytes of tokens that a worker stores, an entry with ENTRY more
 ENTRY = 120
+PART = 10_000  # segments that are scored at a time in fitting
 PIECE, OVERLAP = 64, 24  # longer segments are scored in overlapping pieces
 OFFSETS = [(i, j, k) for k in range(3, SPAN) for i, j in combinations(range(1, k), 2)]
 
@@ -116,6 +117,12 @@ class Subsequences:
         return out
 
 
+def dots(segments: list[str], table: np.ndarray) -> np.ndarray:
+    """Subsequences.dot over many segments, in parts, which bounds the memory it takes."""
+    parts = [segments[k : k + PART] for k in range(0, len(segments), PART)]
+    return np.concatenate([Subsequences(part).dot(table) for part in parts] or [np.zeros(0)])
+
+
 def kernel(segments: list[str], landmarks: list[str]) -> np.ndarray:
     own = Subsequences(segments)
     out = np.empty((len(segments), len(landmarks)))
@@ -133,8 +140,8 @@ def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
     ridge[-1, -1] = 1e-3
     active = np.ones(len(x), bool)
     for _ in range(30):
-        w = weight * active
-        beta = np.linalg.solve(ridge + (x * w[:, None]).T @ x, (x * w[:, None]).T @ y)
+        weighted = (x * (weight * active)[:, None]).T
+        beta = np.linalg.solve(ridge + weighted @ x, weighted @ y)
         inside = y * (x @ beta) < 1
         if (inside == active).all():
             break
@@ -142,18 +149,15 @@ def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
     return beta[:-1], float(beta[-1])
 
 
-def fit_segments(found) -> tuple[np.ndarray, float]:
-    """Table of subsequence weights and bias, from a frame of segments with the
-    number of different contexts in toxic and clean texts (`toxic`, `clean`)."""
-    names = found["segment"].tolist()
-    toxic, clean = found["toxic"].to_numpy(float), found["clean"].to_numpy(float)
+def fit_segments(names: list[str], toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, float]:
+    """Table of subsequence weights and bias, from segments with the number of
+    different contexts in toxic and clean texts (`toxic`, `clean`)."""
     usable = np.fromiter(map(len, names), np.int64, len(names)) >= 4
     only_toxic, from_clean = usable & (toxic > 0) & (clean == 0), usable & (clean > 0)
     hashed = np.fromiter((hash_of(s) for s in names), np.uint64, len(names))
     order = np.argsort(hashed, kind="stable")
     negative = np.zeros(len(names), bool)
     negative[order[from_clean[order]][:NEGATIVES]] = True
-    everything = Subsequences(names)
     if not only_toxic.any() or not negative.any():
         return np.zeros(FEATURES), -1.0
     # witnesses: segments whose contexts are toxic far more often than all are
@@ -172,8 +176,8 @@ def fit_segments(found) -> tuple[np.ndarray, float]:
         strong = spread_out(names, positives, toxic, LANDMARKS // 2)
         # the other landmarks are the clean segments nearest to these
         picked = [names[i] for i in strong]
-        near = everything.dot(Subsequences(picked).table(np.ones(len(picked))))
-        hard = negatives[np.argsort(-near[negatives], kind="stable")]
+        near = dots([names[i] for i in negatives], Subsequences(picked).table(np.ones(len(picked))))
+        hard = negatives[np.argsort(-near, kind="stable")]
         landmarks = picked + [names[i] for i in hard[: LANDMARKS // 2]]
         rows = [names[i] for i in positives]
         among = kernel(landmarks, landmarks)
@@ -191,7 +195,7 @@ def fit_segments(found) -> tuple[np.ndarray, float]:
         weight[positive:] /= weight[positive:].sum()
         beta, bias = train_svm(x, y, COST * len(rows) * weight / 2)
         table = Subsequences(landmarks).table(whiten @ beta)
-        margin = everything.dot(table) + bias
+        margin = dots(names, table) + bias
         # clean segments that look worst, and toxic ones that look like witnesses
         worst = np.flatnonzero(from_clean)
         negative[worst[np.argsort(-margin[worst], kind="stable")][: NEGATIVES // 3]] = True
@@ -299,6 +303,19 @@ def _contexts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the weights and bias for the segments of the sample, if there are any."""
+    in_worker(("toxicity", "fit"), dict)  # other operators' stores are given up
+    found = list(batches)
+    if not sum(len(batch) for batch in found):
+        return
+    whole = pa.Table.from_batches(found).sort_by("segment")
+    toxic, clean = (whole.column(c).to_numpy().astype(float) for c in ("toxic", "clean"))
+    table, bias = fit_segments(whole.column("segment").to_pylist(), toxic, clean)
+    weights = pa.array([table.astype(np.float32).tobytes()], pa.binary())
+    yield pa.RecordBatch.from_arrays([weights, pa.array([float(bias)])], ["weights", "bias"])
+
+
 class Model:
     def __init__(self, broadcast, slope: float, offset: float):
         self.broadcast, self.slope, self.offset = broadcast, slope, offset
@@ -334,7 +351,8 @@ def fit(
     sample: int = SAMPLE,
 ) -> Model:
     """Fit on at most `sample` texts of either label, of those ids (column doc_id)
-    for which `train` holds."""
+    for which `train` holds.  The sample's segments are fitted in one task, so the driver
+    holds the weights only."""
     spark = docs.sparkSession
     marked = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     marked = marked.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -360,23 +378,24 @@ def fit(
             F.sum("toxic").alias("toxic"),
             F.sum(1 - F.col("toxic")).alias("clean"),
         )
-        .toPandas()  # segments of the sample
-        .sort_values("segment", ignore_index=True)
     )
     share = totals.get(1, 0) / max(1, totals.get(0, 0) + totals.get(1, 0))
     none = Model(None, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-    if not totals.get(0) or not totals.get(1) or not len(found):
+    if not totals.get(0) or not totals.get(1):
         return none
-    table, bias = fit_segments(found)
+    # the segments of the sample, however many texts there are
+    fitted = found.repartition(1).mapInArrow(_fitted, "weights binary, bias double").collect()
+    table = np.frombuffer(fitted[0].weights, np.float32) if fitted else np.zeros(0)
     if not table.any():
         return none
-    table = table.astype(np.float32)
+    bias = fitted[0].bias
     name = f"{hash_of(table.tobytes().hex()[:4096])}-{bias}"
     model = spark.sparkContext.broadcast((name, table, bias))  # 4 MB
-    shown = _margins(texts, model).select("toxic", "margin").toPandas()  # the sample
-    toxic = shown["toxic"].to_numpy(float)
+    shown = _margins(texts, model).select("toxic", "margin").collect()  # the sample
+    toxic = np.array([r.toxic for r in shown], float)
+    margin = np.array([r.margin for r in shown], float)
     weight = np.where(toxic > 0, totals[1] / max(1, toxic.sum()), totals[0] / max(1, (1 - toxic).sum()))
-    slope, offset = _logistic(shown["margin"].to_numpy(), toxic, weight / weight.mean())
+    slope, offset = _logistic(margin, toxic, weight / weight.mean())
     return Model(model, slope, offset)
 
 

@@ -257,3 +257,28 @@ def test_long_segments_are_learnt_whole():
     assert any("blockhead" in s for s in pieces)
     assert max(map(len, pieces)) <= toxicity.PIECE
     assert toxicity.pieces_of("abc") == ["abc"]
+
+
+def test_the_sample_is_not_fitted_in_the_driver(spark, monkeypatch):
+    """Workers import the module anew; what is replaced here is replaced in the driver only."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refused(*_):
+        raise AssertionError("in the driver")
+
+    docs, labels = invented()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit_segments", refused)
+    monkeypatch.setattr(DataFrame, "toPandas", refused)
+    model = toxicity.fit(d, lab)
+    found = {r.doc_id: r.score for r in toxicity.score(d, model).select("row.doc_id", "score").collect()}
+    assert sum((found[i] >= 0.5) != bool(t) for i, t in labels) <= 2
+
+
+def test_segments_are_scored_in_parts(monkeypatch):
+    names = [f"seg{'abc' * (i % 5)}{i}" for i in range(50)]
+    table = toxicity.Subsequences(names[:7]).table(np.ones(7))
+    monkeypatch.setattr(toxicity, "PART", 8)
+    assert np.array_equal(toxicity.dots(names, table), toxicity.Subsequences(names).dot(table))
+    assert len(toxicity.dots([], table)) == 0

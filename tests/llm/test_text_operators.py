@@ -483,3 +483,50 @@ def test_short_lines_are_compared_completely(spark):
     for i in range(len(texts)):
         first.setdefault(groups.find(i), i)
     assert found == set(range(len(texts))) - set(first.values()) and found
+
+
+def test_shuffle_files_and_tables_go_with_their_query(spark):
+    import time
+    from pathlib import Path
+
+    from incidentlens import session
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    def build():
+        first = session.materialize(spark.range(1000).repartition(7, "id"))
+        inner = session.settled(lambda: first.groupBy((F.col("id") % 10).alias("k")).count())
+        files.extend([*first.inputFiles(), *inner.inputFiles()])
+        return inner.groupBy("count").agg(F.sum("k").alias("k")), inner.select("k")
+
+    files, before, setting = [], shuffled(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    one, two = session.settled(build)
+    assert one.collect() == [(100, 45)] and two.count() == 10
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+    until = time.time() + 10  # executors delete on their own
+    while (mine := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert files and len(mine) <= 1  # that of count() above, which is no query of settled
+
+
+def test_pairs_with_too_few_equal_blocks_are_not_shuffled(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for _ in range(500):
+        x = [rng.randrange(256) for _ in range(8)]
+        y = [b if rng.random() < 0.25 else b ^ (1 << rng.randrange(8)) for b in x]
+        near = [int.from_bytes(bytes(v), "little", signed=True) for v in (x, y)]
+        needs = (rng.choice([1, 2, 2]), rng.choice([2, 2, 1]))
+        want = min(needs) < 2 or sum(a == b for a, b in zip(x, y)) >= 2
+        rows.append(((near[0], needs[0]), (near[1], needs[1]), want))
+    rows += [((None, 2), (1, 2), True), ((None, 2), (None, 2), True)]
+    sketch = "struct<simhash: long, need: int>"
+    df = spark.createDataFrame(rows, f"x {sketch}, y {sketch}, want boolean")
+    assert all(r.want == r.got for r in df.select("want", linededup._enough_blocks("x", "y").alias("got")).collect())
+    assert len({r[2] for r in rows}) == 2

@@ -530,3 +530,47 @@ def test_pairs_with_too_few_equal_blocks_are_not_shuffled(spark):
     df = spark.createDataFrame(rows, f"x {sketch}, y {sketch}, want boolean")
     assert all(r.want == r.got for r in df.select("want", linededup._enough_blocks("x", "y").alias("got")).collect())
     assert len({r[2] for r in rows}) == 2
+
+
+def _shuffled_words(n, size, seed):
+    """Lines of the same few words in other orders: equal letters, many anchors in common."""
+    import random
+
+    rng = random.Random(seed)
+    return sorted({" ".join(rng.sample(["moderne", "gestern", "anderen", "suchend", "wartend", "beginnt"], size)) for _ in range(n)})
+
+
+def test_pairs_of_short_lines_that_are_not_similar_are_not_shuffled(spark, monkeypatch):
+    lines = _shuffled_words(80, 6, 4)
+    lines += [f"{line}x" for line in lines[:20]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc long, text string")
+    counts, met = [], linededup._met
+
+    def counted(pairs):
+        counts.append(pairs.select("a", "b").distinct().count())
+        return met(pairs)
+
+    monkeypatch.setattr(linededup, "_met", counted)
+    linededup.repeated_lines(docs).collect()
+    pairs = [(max(len(x), len(y)), x, y) for i, x in enumerate(lines) for y in lines[:i]]
+    similar = sum(5 * (n - brute.edit_distance(x, y)) >= 4 * n for n, x, y in pairs)
+    assert counts and sum(counts) <= similar < len(pairs) / 10
+
+
+def test_turns_and_parts_do_not_change_what_is_found(spark, monkeypatch):
+    lines = _shuffled_words(60, 4, 9)
+    docs = spark.createDataFrame(list(enumerate([*lines, *(f"{x}n" for x in lines)])), "doc long, text string")
+    results = []
+    for rows, crowded in ((10**9, 10**9), (300, 10**9), (1000, 3)):
+        monkeypatch.setattr(linededup, "TURN_ROWS", rows)
+        monkeypatch.setattr(linededup, "CROWDED", crowded)
+        results.append({r.doc for r in linededup.repeated_lines(docs).collect()})
+    assert results[0] == results[1] == results[2] and len(results[0]) >= len(lines)
+
+
+def test_copies_of_the_lines_of_a_bucket_grow_with_the_root_of_its_size(spark):
+    sizes = [1, 1000, 1001, 8000, 9000, 90_000, 900_000]
+    found = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", linededup._parts(F.col("n")).alias("p"))
+    parts = {r.n: r.p for r in found.collect()}
+    assert [parts[n] for n in sizes[:4]] == [1, 1, 2, 8]
+    assert parts[90_000] <= 4 * parts[9000] and parts[900_000] <= 4 * parts[90_000]
